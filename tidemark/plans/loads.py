@@ -212,7 +212,7 @@ def create_log(spark: SparkSession) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {LOG.split('.')[0]}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {LOG} ({runlog.LOG_DDL}, {LOG_DAY} DATE) "
-        f"USING parquet PARTITIONED BY ({LOG_DAY})"
+        f"USING parquet {tables.REPLACE_BY_PARTITION} PARTITIONED BY ({LOG_DAY})"
     )
 
 
@@ -243,7 +243,7 @@ def retain_log(spark: SparkSession, as_of: datetime | None = None) -> None:
         if kept.isEmpty():
             expired.append(limit.date())
         else:
-            kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(LOG)
+            kept.write.mode("overwrite").insertInto(LOG)
     for day in expired:
         spark.sql(f"ALTER TABLE {LOG} DROP IF EXISTS PARTITION ({LOG_DAY} = DATE'{day}')")
     spark.catalog.refreshTable(LOG)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from functools import reduce
@@ -16,6 +17,10 @@ from tidemark.operators.upsert import MONTH
 PREVIEW_ROWS = 3
 PREVIEW_NAMES = 5
 
+# A table option: an overwriting insert replaces only the partitions it has rows of, and may
+# read the table it writes, since files are moved in place after the job is done.
+REPLACE_BY_PARTITION = "OPTIONS (partitionOverwriteMode 'dynamic')"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: the one the cluster names for checkpoints.
@@ -62,7 +67,7 @@ def create_if_missing(spark: SparkSession, spec) -> None:
     stored_by = ""
     if spec.is_fact:
         columns.append(f"{MONTH} DATE")
-        stored_by = f"PARTITIONED BY ({MONTH})"
+        stored_by = f"{REPLACE_BY_PARTITION} PARTITIONED BY ({MONTH})"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_ident(spec.full_name)} ({', '.join(columns)}) "
         f"USING parquet {stored_by}"
@@ -106,9 +111,8 @@ def replace_rows(df: DataFrame, spec) -> Observation:
     """
     spark = df.sparkSession
     create_if_missing(spark, spec)
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(spec.full_name)}")
-    location = described.where("col_name = 'Location'").first().data_type
-    base = location.split("/version=")[0]
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(spec.full_name)} AS JSON").first()[0]
+    base = json.loads(described)["location"].split("/version=")[0]
     path = f"{base}/version={uuid.uuid4().hex}"
     rows, seen = counted(df)
     rows.write.parquet(path)
@@ -124,11 +128,7 @@ def replace_months(df: DataFrame, spec) -> None:
     them is written by many tasks and small months share one.
     """
     by_month = df.withColumn(MONTH, month_start(quoted(spec.event))).hint("rebalance", MONTH)
-    (
-        by_month.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(_ident(spec.full_name))
-    )
+    by_month.write.mode("overwrite").insertInto(_ident(spec.full_name))
 
 
 def drop_months(spark: SparkSession, spec, months: list) -> None:

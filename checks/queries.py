@@ -18,6 +18,7 @@ from tidemark.operators import runlog, timeseries, upsert
 from tidemark.operators.conform import conform, inferred_types, quoted
 from tidemark.operators.refresh import counted, refreshed, with_first_event
 from tidemark.plans.specs import DEV, SPECS, TIERS, TableSpec
+from tidemark.session import tuned
 from tidemark.sources import samples, tables, workbook
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,7 +151,9 @@ def fact(spark: SparkSession, sf: str, spec: TableSpec) -> tuple[DataFrame, Data
     target = standins.target(spark, sf, spec)
     since = upsert.watermark_literal(target, spec.event)
     found = upsert.increment(standins.source(spark, sf, spec), spec.source_event, since)
-    return target, upsert.shaped_for(spec, found, moment(AS_OF))
+    rows = upsert.shaped_for(spec, found, moment(AS_OF))
+    # As the loads do: the source is read once, and Spark plans with the increment's size.
+    return target, tables.staged(rows, spec.table)
 
 
 def merged(spark: SparkSession, sf: str, spec: TableSpec) -> DataFrame:
@@ -412,4 +415,11 @@ SOURCES: dict[str, Query] = {
     "active_employees": active_employees,
 }
 
-QUERIES: dict[str, Query] = TIME_SERIES | DIMENSIONS | FACTS | RUN_LOG | SOURCES
+def _tuned(query: Query) -> Query:
+    return lambda spark, sf: query(tuned(spark), sf)
+
+
+QUERIES: dict[str, Query] = {
+    name: _tuned(query)
+    for name, query in (TIME_SERIES | DIMENSIONS | FACTS | RUN_LOG | SOURCES).items()
+}

@@ -10,6 +10,11 @@ from tidemark.plans.specs import Column
 
 # Narrowest first; a column that fits none of them stays text.
 CANDIDATE_TYPES = ("bigint", "double", "timestamp_ntz")
+LOOKS_LIKE = {
+    "bigint": r"^\s*[+-]?\d+\s*$",
+    "double": r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$",
+    "timestamp_ntz": r"^\s*\d{4}-",
+}
 
 
 def quoted(name: str, side: str | None = None) -> SparkColumn:
@@ -43,6 +48,15 @@ def conform(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
     return df.select(*[conform_column(c, quoted(c.name)) for c in columns])
 
 
+def _readable(text: SparkColumn, kind: str) -> SparkColumn:
+    """``text`` as ``kind`` where it looks like one, else NULL.
+
+    Casting is tried only on text of the right look: a failed cast to a number costs an
+    exception each, and most text columns fail in every row.
+    """
+    return F.when(text.rlike(LOOKS_LIKE[kind]), text.try_cast(kind))
+
+
 def inferred_types(df: DataFrame, candidates: Sequence[str] = CANDIDATE_TYPES) -> DataFrame:
     """One row per text column: how many values it has and the narrowest type they all fit.
 
@@ -52,9 +66,7 @@ def inferred_types(df: DataFrame, candidates: Sequence[str] = CANDIDATE_TYPES) -
     for i, name in enumerate(df.columns):
         text = quoted(name).cast("string")
         counts.append(F.count(text).alias(f"n{i}"))
-        counts += [
-            F.count(text.try_cast(kind)).alias(f"n{i}_{kind}") for kind in candidates
-        ]
+        counts += [F.count(_readable(text, kind)).alias(f"n{i}_{kind}") for kind in candidates]
     totals = df.agg(*counts)
     columns = []
     for i, name in enumerate(df.columns):

@@ -144,7 +144,7 @@ def test_a_small_increment_leaves_the_target_where_it_is(spark, tmp_path):
     target.limit(5).write.parquet(str(tmp_path / "rows"))
     target = spark.read.parquet(str(tmp_path / "target"))
     rows = spark.read.parquet(str(tmp_path / "rows"))
-    plan = plan_of(upsert.merge(target, rows, RULE, existing=rows.select("k")))
+    plan = plan_of(upsert.updated(target, rows, RULE))
     assert "BroadcastHashJoin" in plan and "LeftOuter, BuildRight" in plan
     assert "Exchange hashpartitioning" not in plan
 

@@ -33,17 +33,11 @@ def watermark(target: DataFrame, event: str) -> DataFrame:
 
 
 def watermark_literal(target: DataFrame, event: str) -> Column:
-    """The watermark as a literal, which scans can use to skip data.
+    """The watermark as a literal, which scans can use to skip data; one value is collected.
 
-    Brings one value to the driver. Where the table is stored by month only the newest
-    month is read for it.
+    For a target stored by month its newest month is enough.
     """
-    kind = target.schema[event].dataType
-    if MONTH in target.columns:
-        newest_month = target.agg(F.max(MONTH)).first()[0]
-        if newest_month is not None:
-            target = target.where(F.col(MONTH) == F.lit(newest_month))
-    return F.lit(str(watermark(target, event).first()[0])).cast(kind)
+    return F.lit(str(watermark(target, event).first()[0])).cast(target.schema[event].dataType)
 
 
 def increment(
@@ -121,21 +115,13 @@ def changed_pairs(
     )
 
 
-def merge(
-    target: DataFrame, rows: DataFrame, rule, existing: DataFrame | None = None
-) -> DataFrame:
-    """The target after the upsert.
-
-    A target row takes the values of the increment row that changes it, save for the
-    columns never updated; increment rows without a partner are added. ``existing`` holds
-    the keys known to be in the table where ``target`` is only a part of it.
+def updated(target: DataFrame, rows: DataFrame, rule) -> DataFrame:
+    """Target rows, each with the values of the increment row that changes it, if any.
 
-    Update and insert are two joins rather than one full outer join: the target's wide
-    rows can then stay where they are whenever the increment is small enough to broadcast,
-    and the anti join needs its keys only.
+    Columns that are never updated keep the target's value.
     """
     taken = quoted(rule.key, "s").isNotNull()
-    updated = (
+    return (
         target.select(*map(quoted, rule.names))
         .alias("t")
         .join(rows.alias("s"), same_key(rule) & is_changed(rule), "left")
@@ -148,8 +134,17 @@ def merge(
             ]
         )
     )
-    added = new_rows(rows, target if existing is None else existing, rule.key)
-    return updated.unionByName(added.select(*map(quoted, rule.names)))
+
+
+def merge(target: DataFrame, rows: DataFrame, rule) -> DataFrame:
+    """The target after the upsert: changed rows updated, rows without a partner added.
+
+    Update and insert are two joins rather than one full outer join: the target's wide
+    rows can then stay where they are whenever the increment is small enough to broadcast,
+    and the anti join needs its keys only.
+    """
+    added = new_rows(rows, target, rule.key)
+    return updated(target, rows, rule).unionByName(added.select(*map(quoted, rule.names)))
 
 
 def upsert_counts(target: DataFrame, rows: DataFrame, rule) -> DataFrame:

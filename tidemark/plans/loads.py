@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -25,6 +26,11 @@ RAW = "raw_data"
 LOG = "admin_logging.ExecutionLogs"
 LOG_DAY = "log_day"
 
+# Bounds for a broadcast: keys of an increment (a BIGINT each), and bytes on disk of the
+# rows that update a fact. Beyond them the join is a shuffled one.
+BROADCAST_KEYS = 5_000_000
+BROADCAST_BYTES = 32 * 1024 * 1024
+
 
 class AmbiguousUpsert(ValueError):
     """More than one increment row would change one target row."""
@@ -71,27 +77,29 @@ def ingest_workbooks(
     The workbooks are decoded once. A sheet that cannot be read or loaded is reported and
     the others go on.
     """
-    rows = tables.staged(workbook.sheet_rows(workbook.workbook_files(spark, folder)), "sheets")
-    failed = rows.where(F.col("error").isNotNull()).select("workbook", "sheet", "error")
-    outcomes = [
-        Outcome(raw, f"{r.workbook} {r.sheet or ''}".strip(), _now(), _now(), 0, 0, "Error", r.error)
-        for r in failed.toLocalIterator()
-    ]
-    good = workbook.good_rows(rows)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {raw}")
-    names = [r.sheet for r in good.select("sheet").distinct().toLocalIterator()]
-    for sheet in sorted(names):
-        name = f"{raw}.{table_name(sheet, prefix).lower()}"
-
-        def write() -> tuple[int, int]:
-            df = workbook.sheet_table(good, sheet)
-            (tables.overwrite if overwrite else tables.create_only)(df, name)
-            return spark.table(name).count(), 0
-
-        outcomes.append(_captured(raw, name, write))
+    with tables.Staging(spark, "workbooks") as staging:
+        files = workbook.workbook_files(spark, folder)
+        rows = staging.write(workbook.sheet_rows(files), "sheets", "sheet")
+        failed = rows.where(F.col("error").isNotNull()).select("workbook", "sheet", "error")
+        outcomes = [
+            Outcome(raw, f"{r.workbook} {r.sheet or ''}".strip(), _now(), _now(), 0, 0, "Error", r.error)
+            for r in failed.toLocalIterator()
+        ]
+        good = workbook.good_rows(rows)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {raw}")
+        names = sorted(r.sheet for r in good.select("sheet").distinct().toLocalIterator())
+        for sheet in names:
+            name = f"{raw}.{table_name(sheet, prefix).lower()}"
+            outcomes.append(_captured(raw, name, partial(_write_sheet, good, sheet, name, overwrite)))
     return outcomes
 
 
+def _write_sheet(rows: DataFrame, sheet: str, name: str, overwrite: bool) -> tuple[int, int]:
+    df = workbook.sheet_table(rows, sheet)
+    (tables.overwrite if overwrite else tables.create_only)(df, name)
+    return df.sparkSession.table(name).count(), 0
+
+
 # ---- one load ---------------------------------------------------------------------------
 
 
@@ -120,42 +128,69 @@ def load_fact(
 
     The source is scanned once: the increment is written to the shared folder, and all that
     follows reads it from there with its size known. The target is scanned once for key and
-    compared columns; then only the months that change are read in full and replaced.
+    compared columns. Without updates new rows are appended and nothing is rewritten; else
+    the months with a change are read in full and replaced in one write.
     """
     tables.create_if_missing(spark, spec)
+    with tables.Staging(spark, spec.table) as staging:
+        return _upsert(spark, spec, raw, as_of, lookback_days, staging)
+
+
+def _upsert(
+    spark: SparkSession,
+    spec: TableSpec,
+    raw: str,
+    as_of: datetime | None,
+    lookback_days: int,
+    staging: tables.Staging,
+) -> tuple[int, int]:
     table = spark.table(spec.full_name)
-    since = upsert.watermark_literal(table, spec.event)
+    months = tables.partition_values(spark, spec.full_name)
+    newest = table.where(F.col(MONTH) == F.lit(months[-1])) if months else table
+    since = upsert.watermark_literal(newest, spec.event)
     found = upsert.increment(_source(spark, spec, raw), spec.source_event, since, lookback_days)
-    rows = tables.staged(upsert.shaped_for(spec, found, moment(as_of)), spec.table)
-    rows = _unambiguous(table, rows, spec)
-
-    matches = tables.staged(_matches(table, rows, spec), f"{spec.table}-matches")
-    changed = matches.where("changed")
-    added = upsert.new_rows(rows, matches, spec.key)
-    n_updated = changed.count()
-    added_by_month = {
-        r[MONTH]: r["count"]
-        for r in added.groupBy(month_start(quoted(spec.event)).alias(MONTH)).count().collect()
-    }
-    n_inserted = sum(added_by_month.values())
-    if not n_inserted and not n_updated:
-        return 0, 0
-
-    moves = changed.groupBy(MONTH, "new_month").count().collect()
-    months = {*added_by_month, *(r[MONTH] for r in moves), *(r["new_month"] for r in moves)}
-    part = table.where(F.col(MONTH).isin(sorted(months)))
-    emptied = _emptied(part, moves, set(added_by_month))
-    tables.replace_months(upsert.merge(part, rows, spec, existing=matches), spec)
-    tables.drop_months(spark, spec, emptied)
+    rows = staging.write(upsert.shaped_for(spec, found, moment(as_of)), "increment")
+    rows = _unambiguous(table, rows, spec, staging)
+
+    matches = staging.write(_matches(table, rows, spec), "matches")
+    moves = matches.where("changed").groupBy(MONTH, "new_month").count().collect()
+    n_updated = sum(move["count"] for move in moves)
+    added = upsert.new_rows(rows, matches, spec.key).select(*map(quoted, spec.names))
+    by_month = added.groupBy(month_start(quoted(spec.event)).alias(MONTH)).count().collect()
+    n_inserted = sum(r["count"] for r in by_month)
+
+    if n_updated:
+        touched = {*(r[MONTH] for r in [*by_month, *moves]), *(r["new_month"] for r in moves)}
+        part = table.where(F.col(MONTH).isin(sorted(touched)))
+        emptied = _emptied(part, moves, {r[MONTH] for r in by_month})
+        changed_keys = matches.where("changed").select(quoted(spec.key))
+        updates = staging.write(rows.join(changed_keys, spec.key, "left_semi"), "updates")
+        if staging.size("updates") <= BROADCAST_BYTES:
+            # The rewritten rows stay in the tasks that read them, month by month.
+            kept = tables.with_month(upsert.updated(part, F.broadcast(updates), spec), spec)
+        else:
+            kept = tables.by_month(upsert.updated(part, updates, spec), spec)
+        tables.replace_months(kept.unionByName(tables.by_month(added, spec)), spec)
+        tables.drop_months(spark, spec, emptied)
+    elif n_inserted:
+        tables.append_months(tables.by_month(added, spec), spec)
     spark.catalog.refreshTable(spec.full_name)
     return n_inserted, n_updated
 
 
 def _matches(table: DataFrame, rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Key, month before and after, and whether it changes, of each target row with a partner."""
+    """Key, month before and after, and whether it changes, of each target row with a partner.
+
+    The target is first reduced to the increment's keys. Up to a checked number of keys
+    that takes a broadcast, and the target's rows are not shuffled.
+    """
     compared = [spec.key, *spec.compare, *spec.compare_null_safe]
+    keys = rows.select(quoted(spec.key))
+    if rows.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
     return (
         table.select(*map(quoted, compared), MONTH)
+        .join(keys, spec.key, "left_semi")
         .alias("t")
         .join(rows.select(*map(quoted, compared)).alias("s"), upsert.same_key(spec))
         .select(
@@ -167,16 +202,18 @@ def _matches(table: DataFrame, rows: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def _unambiguous(table: DataFrame, rows: DataFrame, spec: TableSpec) -> DataFrame:
+def _unambiguous(
+    table: DataFrame, rows: DataFrame, spec: TableSpec, staging: tables.Staging
+) -> DataFrame:
     """The increment, once it is sure that no target row is changed twice."""
     if upsert.repeated_keys(rows, spec.key).isEmpty():
         return rows
-    changes = tables.staged(upsert.changes_per_key(table, rows, spec), f"{spec.table}-repeats")
+    changes = staging.write(upsert.changes_per_key(table, rows, spec), "repeats")
     twice = changes.where(F.col("n_changes") > 1).orderBy(quoted(spec.key)).take(5)
     if twice:
         keys = ", ".join(str(r[0]) for r in twice)
         raise AmbiguousUpsert(f"{spec.full_name}: several rows would change one row, keys {keys}")
-    return tables.staged(upsert.without_copies(rows, changes, spec), f"{spec.table}-single")
+    return staging.write(upsert.without_copies(rows, changes, spec), "single")
 
 
 def _emptied(part: DataFrame, moves: list, added_months: set) -> list:
@@ -235,7 +272,7 @@ def retain_log(spark: SparkSession, as_of: datetime | None = None) -> None:
     """Drop expired days and rewrite the one the limit falls in."""
     as_of = as_of or _now()
     limit = as_of - timedelta(days=runlog.KEEP_DAYS)
-    days = [r[0] for r in spark.table(LOG).select(LOG_DAY).distinct().collect() if r[0]]
+    days = tables.partition_values(spark, LOG)
     expired = [d for d in days if d < limit.date()]
     if limit.date() in days:
         boundary = spark.table(LOG).where(F.col(LOG_DAY) == F.lit(limit.date()))

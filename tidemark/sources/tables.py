@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -38,15 +39,45 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, *partition_by: str, folder: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     Lost executors then cost no recomputation, the rows stay what they were, and Spark
     plans with the real size.
     """
-    path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{folder}/{name}" if folder else staging_path(spark, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class Staging:
+    """Staged DataFrames of one job, deleted together when it ends."""
+
+    def __init__(self, spark: SparkSession, job: str):
+        self.spark = spark
+        self.folder = staging_path(spark, job)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        files, path = _files(self.spark, self.folder)
+        files.delete(path, True)
+
+    def write(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+        return staged(df, name, *partition_by, folder=self.folder)
+
+    def size(self, name: str) -> int:
+        """Bytes of what was written under a name."""
+        files, path = _files(self.spark, f"{self.folder}/{name}")
+        return files.getContentSummary(path).getLength()
+
+
+def _files(spark: SparkSession, folder: str):
+    """The file system a folder is on, and the folder as its path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def _ident(name: str) -> str:
@@ -102,18 +133,25 @@ def append_by_position(df: DataFrame, name: str) -> None:
     df.select(*cast).write.insertInto(name)
 
 
+def _location(spark: SparkSession, spec) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(spec.full_name)} AS JSON").first()[0]
+    return json.loads(described)["location"]
+
+
+def _base_folder(spark: SparkSession, spec) -> str:
+    return _location(spark, spec).split("/version=")[0]
+
+
 def replace_rows(df: DataFrame, spec) -> Observation:
     """Full refresh: new rows go to a folder of their own, then the table points there.
 
     The table keeps its old rows until all new ones are written, and for good if writing
     fails. The row count is taken on the way. The old folder is left to readers that still
-    use it.
+    use it; ``drop_old_versions`` removes it.
     """
     spark = df.sparkSession
     create_if_missing(spark, spec)
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(spec.full_name)} AS JSON").first()[0]
-    base = json.loads(described)["location"].split("/version=")[0]
-    path = f"{base}/version={uuid.uuid4().hex}"
+    path = f"{_base_folder(spark, spec)}/version={uuid.uuid4().hex}"
     rows, seen = counted(df)
     rows.write.parquet(path)
     spark.sql(f"ALTER TABLE {_ident(spec.full_name)} SET LOCATION '{path}'")
@@ -121,14 +159,42 @@ def replace_rows(df: DataFrame, spec) -> Observation:
     return seen
 
 
-def replace_months(df: DataFrame, spec) -> None:
-    """Replace the months of a fact that ``df`` has rows of; others are not touched.
+def drop_old_versions(spark: SparkSession, spec) -> None:
+    """Delete the folders of earlier refreshes. For times when nobody reads them."""
+    current = _location(spark, spec).rsplit("/", 1)[-1]
+    files, base = _files(spark, _base_folder(spark, spec))
+    for found in files.listStatus(base):
+        name = found.getPath().getName()
+        if name.startswith("version=") and name != current:
+            files.delete(found.getPath(), True)
+
+
+def with_month(df: DataFrame, spec) -> DataFrame:
+    return df.withColumn(MONTH, month_start(quoted(spec.event)))
+
+
+def by_month(df: DataFrame, spec) -> DataFrame:
+    """Rows spread by month with the sizes known at run time, to write few files.
 
-    Rows are spread by month with the sizes known at run time, so a month holding most of
-    them is written by many tasks and small months share one.
+    A month holding most of the rows is written by many tasks and small months share one.
     """
-    by_month = df.withColumn(MONTH, month_start(quoted(spec.event))).hint("rebalance", MONTH)
-    by_month.write.mode("overwrite").insertInto(_ident(spec.full_name))
+    return with_month(df, spec).hint("rebalance", MONTH)
+
+
+def append_months(rows: DataFrame, spec) -> None:
+    """Add rows (with their month) to a fact; nothing is read or rewritten."""
+    rows.write.insertInto(_ident(spec.full_name))
+
+
+def replace_months(rows: DataFrame, spec) -> None:
+    """Replace the months of a fact that the rows have; others are not touched."""
+    rows.write.mode("overwrite").insertInto(_ident(spec.full_name))
+
+
+def partition_values(spark: SparkSession, name: str) -> list[date]:
+    """Values of a table's only partition column, a DATE; asks the catalog, reads no file."""
+    listed = spark.sql(f"SHOW PARTITIONS {_ident(name)}").collect()
+    return sorted(date.fromisoformat(r[0].split("=")[1]) for r in listed)
 
 
 def drop_months(spark: SparkSession, spec, months: list) -> None:

@@ -317,8 +317,7 @@ def error_list_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def error_list_report(spark: SparkSession, sf: str) -> DataFrame:
     lists = _error_lists(spark, sf)
-    report = errors.error_report(F.col("error_list"), moment(DIGEST_AS_OF))
-    return lists.select("list_id", report.alias("report"))
+    return errors.error_reports(lists, "error_list", moment(DIGEST_AS_OF), "list_id")
 
 
 RUN_LOG: dict[str, Query] = {
@@ -387,8 +386,9 @@ def workbook_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def workbook_table(spark: SparkSession, sf: str) -> DataFrame:
-    """All workbooks read back as one typed table."""
-    return workbook.sheet_table(_sheet_rows(spark, sf), SHEET)
+    """All workbooks read back as one typed table; decoded once, as the ingestion does."""
+    rows = tables.staged(_sheet_rows(spark, sf), "sheets", "sheet")
+    return workbook.sheet_table(rows, SHEET)
 
 
 def ingest_manifest(spark: SparkSession, sf: str) -> DataFrame:

@@ -183,7 +183,7 @@ FROM orders
 LINE_ROWS = """
 SELECT l_orderkey * 10 + l_linenumber AS k, MIN(l_suppkey) AS party,
        MAX(l_extendedprice) AS amount,
-       MIN(l_linestatus) AS status, CAST(MAX(l_shipdate) AS DATE) AS day,
+       CHR(MIN(ASCII(l_linestatus))) AS status, CAST(MAX(l_shipdate) AS DATE) AS day,
        MIN(l_linenumber) AS line, MIN(l_partkey) AS product, SUM(l_quantity) AS quantity
 FROM lineitem
 GROUP BY l_orderkey, l_linenumber

@@ -164,7 +164,7 @@ def test_append_and_retention(spark):
 def test_no_errors_to_report(spark, text):
     df = spark.createDataFrame([(text,)], "t string")
     assert errors.error_rows(df, "t").count() == 0
-    assert df.select(errors.error_report(F.col("t"), moment(LOG_AS_OF))).first()[0] is None
+    assert errors.error_reports(df, "t", moment(LOG_AS_OF)).first().report is None
 
 
 def test_error_report(spark):
@@ -174,7 +174,7 @@ def test_error_report(spark):
         (1, "test_data", "p", "Error", "m", "a", "b"),
         (2, "N/A", "N/A", "None", "N/A", "N/A", "N/A"),
     ]
-    report = df.select(errors.error_report(F.col("t"), moment(LOG_AS_OF))).first()[0]
+    report = errors.error_reports(df, "t", moment(LOG_AS_OF)).first().report
     lines = report.split("\n")
     assert lines[0] == "=" * 65 and lines[-1] == "" and lines[-2] == "=" * 65
     assert "  Timestamp:    2024-05-01 12:00:00" in lines

@@ -49,12 +49,13 @@ def error_rows(df: DataFrame, text: str, *keep: str) -> DataFrame:
     )
 
 
-def error_report(text: Column, as_of: Column) -> Column:
-    """The report on a list of errors, or NULL where there is none to report.
+def error_reports(df: DataFrame, text: str, as_of: Column, *keep: str) -> DataFrame:
+    """The report on each list of errors, NULL where there is none to report.
 
-    Built from array functions within the row: nothing is exploded or grouped.
+    Built from array functions within the row: nothing is exploded or grouped. The text is
+    parsed in a step of its own, or each mention of the errors would parse it again.
     """
-    errors = parsed_errors(text)
+    errors = F.col("_errors")
 
     def block(error: Column, index: Column) -> Column:
         lines = [F.format_string("  Error #%d", index + 1)]
@@ -73,7 +74,7 @@ def error_report(text: Column, as_of: Column) -> Column:
         F.lit(f"\n\n{SINGLE_RULE}\n\n"),
     )
     blocks = F.array_join(F.transform(errors, block), "")
-    return F.when(
-        F.size(errors) > 0,
-        F.concat(header, blocks, F.lit(f"{CLOSING}\n{DOUBLE_RULE}\n")),
+    report = F.concat(header, blocks, F.lit(f"{CLOSING}\n{DOUBLE_RULE}\n"))
+    return df.select(*keep, parsed_errors(F.col(text)).alias("_errors")).select(
+        *keep, F.when(F.size(errors) > 0, report).alias("report")
     )

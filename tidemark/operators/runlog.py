@@ -19,6 +19,8 @@ ERROR_LENGTH = 4000
 REPORT_TIERS = (("dev_data", "DEV"), ("test_data", "TEST"), ("prod_data", "PROD"))
 LINE_BREAK = "\r"
 
+LINES_PER_BLOCK = 10_000
+
 LOG_COLUMNS = [column.split()[0] for column in LOG_DDL.split(", ")]
 
 
@@ -70,9 +72,11 @@ def error_digest(
     """One row per tier: ``procedure: message`` of its recent errors, oldest first.
 
     An error without a message drops out, as text joined with NULL is NULL;
-    ``show_unknown`` keeps it. The lines are joined by minute first, then the minutes by
-    tier: the sort of the lines is spread over the minutes, and the last step handles at
-    most 60 times ``hours`` texts of a tier.
+    ``show_unknown`` keeps it.
+
+    The text of a tier is one value in the end, but it is put together in steps: lines of a
+    second and a block of log ids, which as ids are unique are at most ``LINES_PER_BLOCK``,
+    then minutes, then the tier. No task sorts all lines of a tier, or of a busy minute.
     """
     message = F.col("ErrorMessage")
     if show_unknown:
@@ -85,8 +89,12 @@ def error_digest(
         "LogID",
         F.concat("ProcedureName", F.lit(": "), message).alias("line"),
     )
-    minutes = lines.groupBy("SchemaName", minute_text(F.col("StartTime")).alias("minute")).agg(
-        F.expr(_listagg("line", "StartTime, LogID")).alias("lines")
+    block = F.floor(F.col("LogID") / LINES_PER_BLOCK)
+    blocks = lines.groupBy("SchemaName", "StartTime", block.alias("block")).agg(
+        F.expr(_listagg("line", "LogID")).alias("lines")
+    )
+    minutes = blocks.groupBy("SchemaName", minute_text(F.col("StartTime")).alias("minute")).agg(
+        F.expr(_listagg("lines", "StartTime, block")).alias("lines")
     )
     return minutes.groupBy("SchemaName").agg(F.expr(_listagg("lines", "minute")).alias("errors"))
 

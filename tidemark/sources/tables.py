@@ -48,7 +48,7 @@ def staged(df: DataFrame, name: str, *partition_by: str, folder: str | None = No
     spark = df.sparkSession
     path = f"{folder}/{name}" if folder else staging_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*map(quoted, df.columns))
 
 
 class Staging:

@@ -231,6 +231,8 @@ def test_workbooks_to_raw_tables(spark, tmp_path):
             "FACT_Sales": [["Sales_ID", "Total Amount (RON)"], [1, 2.5], [2, 3]],
             "Clash": [["a b", "a_b"], [1, 2]],
             "Empty": [],
+            "Twin 1": [["h"], [1]],
+            "Twin-1": [["h"], [2]],
         }
     )
     (tmp_path / "model.xlsx").write_bytes(content)
@@ -240,6 +242,7 @@ def test_workbooks_to_raw_tables(spark, tmp_path):
     assert by_name["broken.xlsx"].Status == "Error"
     assert by_name["raw_data.dim_accounts"].RowsInserted == 2
     assert "equal after cleaning" in by_name["raw_data.clash"].ErrorMessage
+    assert "2 sheets" in by_name["raw_data.twin_1"].ErrorMessage
     sold = spark.table("raw_data.FACT_Sales")
     assert dict(sold.dtypes) == {"Sales_ID": "bigint", "Total_Amount_RON": "double"}
     again = loads.ingest_workbooks(spark, str(tmp_path), overwrite=False)

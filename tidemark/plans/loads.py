@@ -6,6 +6,7 @@ load in the run log. Raw tables live in the database named by ``raw``.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
@@ -87,14 +88,20 @@ def ingest_workbooks(
         ]
         good = workbook.good_rows(rows)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {raw}")
-        names = sorted(r.sheet for r in good.select("sheet").distinct().toLocalIterator())
-        for sheet in names:
-            name = f"{raw}.{table_name(sheet, prefix).lower()}"
-            outcomes.append(_captured(raw, name, partial(_write_sheet, good, sheet, name, overwrite)))
+        sheets = sorted(r.sheet for r in good.select("sheet").distinct().toLocalIterator())
+        names = {sheet: f"{raw}.{table_name(sheet, prefix).lower()}" for sheet in sheets}
+        taken = Counter(names.values())
+        for sheet, name in names.items():
+            job = partial(_write_sheet, good, sheet, name, overwrite, taken[name])
+            outcomes.append(_captured(raw, name, job))
     return outcomes
 
 
-def _write_sheet(rows: DataFrame, sheet: str, name: str, overwrite: bool) -> tuple[int, int]:
+def _write_sheet(
+    rows: DataFrame, sheet: str, name: str, overwrite: bool, claims: int
+) -> tuple[int, int]:
+    if claims > 1:
+        raise ValueError(f"{claims} sheets, {sheet} among them, would become {name}")
     df = workbook.sheet_table(rows, sheet)
     (tables.overwrite if overwrite else tables.create_only)(df, name)
     return df.sparkSession.table(name).count(), 0

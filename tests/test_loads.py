@@ -1,6 +1,7 @@
 """Loads against catalog tables."""
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,6 +152,11 @@ def test_failed_refresh_keeps_the_old_rows(spark):
     products(("p3", "three"), ("p4", "four"))
     assert loads.load(spark, "dev", "Products").RowsInserted == 2
     assert held() == ["p3", "p4"]
+    folder = Path(spark.table("dev_data.Products").inputFiles()[0].removeprefix("file:")).parent
+    assert len(list(folder.parent.glob("version=*"))) > 1
+    tables.drop_old_versions(spark, DEV["Products"])
+    assert list(folder.parent.glob("version=*")) == [folder]
+    assert held() == ["p3", "p4"]
 
 
 def test_all_tiers(spark):

@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, simhash_dedup
+from tidemark.llm import bit_packing, byte_bpe, exact_dedup, packing, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_byte_bpe": byte_bpe.op2,
+    "op5_packing": packing.op5,
     "op6_exact_dedup": exact_dedup.op6,
     "op7_simhash_dedup": simhash_dedup.op7,
+    "op10_bit_packing": bit_packing.op10,
 }
 
 ORACLE: dict[str, str] = {"op6_exact_dedup": exact_dedup.OP6_SQL}

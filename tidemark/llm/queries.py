@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bit_packing, byte_bpe, exact_dedup, packing, simhash_dedup
+from tidemark.llm import bit_packing, byte_bpe, exact_dedup, html_text, language_id, lm_score, packing, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": html_text.op1,
     "op2_byte_bpe": byte_bpe.op2,
     "op5_packing": packing.op5,
     "op6_exact_dedup": exact_dedup.op6,
     "op7_simhash_dedup": simhash_dedup.op7,
+    "op8_language_id": language_id.op8,
+    "op9_lm_score": lm_score.op9,
     "op10_bit_packing": bit_packing.op10,
 }
 

@@ -2,8 +2,7 @@
 
 Both models are bigram models of the same form over one vocabulary: the words most frequent in the
 whole corpus, any other word being the unknown word. Words, and pairs of words, are counted over all
-documents by one pass each; the target's pairs over the target's documents. A pair's probability is
-its share after the first word, mixed with the share of the second word by a fixed prior weight.
+documents by one pass each, the target's pairs in the same pass. A pair's probability is its share after the first word, mixed with the share of the second word by a fixed prior weight.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ PRIOR = 50.0
 COUNTED = 1 << 21
 
 UNKNOWN, START = 0, 1
-_PAIRS = pa.schema([("pair", pa.int32()), ("n", pa.int64())])
+_PAIRS = pa.schema([("pair", pa.int32()), ("n", pa.int64()), ("n_target", pa.int64())])
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,51 +61,48 @@ def token_pairs(text: str, numbers: dict[str, int], size: int) -> np.ndarray:
 
 
 def pair_counts(docs: DataFrame, words: list[str], size: int) -> DataFrame:
-    """pair, n over all of ``docs``; partly summed in the tasks, so at most one row per pair and chunk."""
+    """pair, n, n_target over all of ``docs`` (text, in_target).
+
+    Summed in the tasks, chunk by chunk, so at most one row per pair and chunk is shuffled.
+    """
     shared = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words, 2)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        inside: list[np.ndarray] = []
 
         def taken() -> pa.RecordBatch:
             pairs, n = np.unique(np.concatenate(held), return_counts=True)
+            n_target = np.zeros(len(pairs), np.int64)
+            some, m = np.unique(np.concatenate(inside), return_counts=True) if inside else ([], [])
+            n_target[np.searchsorted(pairs, some)] = m
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n, pa.int64())], schema=_PAIRS)
-
-        for _, texts in text_batches(batches):
-            for text in texts:
-                held.append(token_pairs(text, shared.value, size))
-            if sum(map(len, held)) > COUNTED:
-                yield taken()
+            inside.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n, pa.int64()), pa.array(n_target)], schema=_PAIRS)
+
+        for batch in batches:
+            for text, target in zip(batch.column("text"), batch.column("in_target").to_pylist()):
+                held.append(token_pairs(text.as_py() or "", shared.value, size))
+                if target:
+                    inside.append(held[-1])
+                if len(held) % 64 == 0 and sum(map(len, held)) > COUNTED:
+                    yield taken()
         if held:
             yield taken()
 
-    return plain_rows(docs).mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-
-
-class PairModel:
-    """Losses of pairs under a bigram model, as one array over all pairs of the vocabulary."""
-
-    def __init__(self, pairs: np.ndarray, n: np.ndarray, size: int):
-        self.pairs, self.n, self.size = pairs, n, size
-
-    def losses(self) -> np.ndarray:
-        """-log p(second | first), by pair; made where it is used."""
-        first, second = np.divmod(self.pairs, self.size)
-        after = np.bincount(first, self.n, self.size)
-        of = np.bincount(second, self.n, self.size) + 1.0
-        of[START] = 1e-9  # never follows
-        share = of / of.sum()
-        out = (np.log(after + PRIOR)[:, None] - np.log(PRIOR * share)[None, :]).astype(np.float32).ravel()
-        out[self.pairs] = np.log(after[first] + PRIOR) - np.log(self.n + PRIOR * share[second])
-        return out
+    found = docs.select("text", "in_target").mapInArrow(run, "pair int, n long, n_target long")
+    return found.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
 
-def _model(counts: DataFrame, size: int) -> PairModel:
-    found = counts.toArrow()
-    pairs = found.column("pair").to_numpy()
-    order = np.argsort(pairs)
-    return PairModel(pairs[order], found.column("n").to_numpy()[order].astype(np.float64), size)
+def pair_losses(pairs: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """-log p(second | first) under counts ``n`` of ``pairs``, as one array over all pairs."""
+    first, second = np.divmod(pairs, size)
+    after, of = np.bincount(first, n, size), np.bincount(second, n, size) + 1.0
+    of[START] = 1e-9  # never follows
+    share = of / of.sum()
+    out = np.subtract.outer(np.log(after + PRIOR).astype(np.float32), np.log(PRIOR * share).astype(np.float32)).ravel()
+    out[pairs] = np.log(after[first] + PRIOR) - np.log(n + PRIOR * share[second])
+    return out
 
 
 _LOSSES: dict[object, tuple[np.ndarray, np.ndarray]] = {}
@@ -125,17 +121,18 @@ def scored(run: Run, docs: DataFrame, target: DataFrame, size: int = VOCABULARY)
     """
     words = vocabulary(docs, size)
     names = target.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    inside = plain_rows(docs).join(names, "doc_id", "left_semi")
-    background = _model(run.written(pair_counts(docs, words, size), "background"), size)
-    wanted = _model(run.written(pair_counts(inside, words, size), "target"), size)
-    shared = docs.sparkSession.sparkContext.broadcast(({w: i for i, w in enumerate(words, 2)}, wanted, background))
+    # Sorted and merged at any size: texts meet their labels in one shuffle, and are counted there.
+    marked = plain_rows(docs).join(names.withColumn("in_target", F.lit(True)).hint("merge"), "doc_id", "left")
+    counts = run.written(pair_counts(marked, words, size), "pairs").toArrow()
+    pairs, n, n_target = (counts.column(c).to_numpy().astype(t) for c, t in (("pair", np.int32), ("n", np.float32), ("n_target", np.float32)))
+    shared = docs.sparkSession.sparkContext.broadcast(({w: i for i, w in enumerate(words, 2)}, pairs, n_target, n))
     key = run.folder
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, near, far = shared.value
+        numbers, pairs, near, far = shared.value
         if key not in _LOSSES:  # once per worker
             _LOSSES.clear()
-            _LOSSES[key] = near.losses(), far.losses()
+            _LOSSES[key] = pair_losses(pairs, near, size), pair_losses(pairs, far, size)
         near_losses, far_losses = _LOSSES[key]
         for ids, texts in text_batches(batches):
             rows = []

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bit_packing, byte_bpe, exact_dedup, html_text, language_id, lm_score, packing, simhash_dedup
+from tidemark.llm import bit_packing, byte_bpe, exact_dedup, hnsw, html_text, language_id, lm_score, packing, passages, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": html_text.op1,
     "op2_byte_bpe": byte_bpe.op2,
+    "op3_hnsw": hnsw.op3,
+    "op4_passages": passages.op4,
     "op5_packing": packing.op5,
     "op6_exact_dedup": exact_dedup.op6,
     "op7_simhash_dedup": simhash_dedup.op7,

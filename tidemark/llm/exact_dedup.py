@@ -116,6 +116,18 @@ def deduplicated(run: Run, docs: DataFrame, index: DigestIndex) -> DataFrame:
     )
 
 
+def kept(run: Run, docs: DataFrame, index: DigestIndex) -> DataFrame:
+    """The rows of ``docs`` that stay, with all columns; of rows repeating id and text one."""
+    stay = run.written(deduplicated(run, docs, index).where("kept").select("doc_id", "text_sha256"), "kept")
+    repeated = run.written(docs.select("doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.sha2(normalised(F.col("text")), 256).alias("digest"))
+    same = rows["doc_id"].eqNullSafe(stay["doc_id"]) & (rows["digest"] == stay["text_sha256"])
+    rows = rows.join(stay, same, "left_semi")
+    if not repeated.isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "digest"])
+    return rows.select("row.*")
+
+
 def fresh(run: Run) -> DigestIndex:
     """An empty index that lives as long as the run's folder."""
     spark, name = run.spark, f"digest_index_{run.folder.rsplit('-', 1)[-1]}"

@@ -205,6 +205,21 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def accepted(docs: DataFrame, model: Model, min_score: float) -> DataFrame:
+    """The rows of ``docs`` whose language is determined with ``min_score`` or more, with all columns.
+
+    Decided where the row is read, so nothing is joined or shuffled.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shared.value.predict(x.as_py()) for x in batch.column("text")]
+            yield batch.filter(pa.array([name != UNDETERMINED and score >= min_score for name, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return predicted(docs, fit(docs))

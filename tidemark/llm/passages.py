@@ -9,6 +9,7 @@ through a Fenwick tree of prefix maxima; chains are then aligned word by word.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -376,5 +377,48 @@ def _joined(parts: list[dict]) -> list[tuple[int, int, list[int], float]]:
     return [(s, e, sorted(ids), min(1.0, sum(n * x for n, x in shares) / sum(n for n, _ in shares))) for s, e, ids, shares in out]
 
 
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def cut_text(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without some runs of words (start, n_words), each with the white space behind it."""
+    raw = text.encode()
+    places = [m.span() for m in _WORD.finditer(raw)]
+    out, at = [], 0
+    for start, n in sorted(spans):
+        out.append(raw[at : places[start][0]])
+        at = places[start + n][0] if start + n < len(places) else len(raw)
+    return b"".join([*out, raw[at:]]).decode()
+
+
+def without_passages(run: Run, docs: DataFrame) -> DataFrame:
+    """``docs`` with all columns, passages that documents of smaller id have cut from the texts.
+
+    n_chars is counted anew where there is such a column. A document with no word left is dropped;
+    one that had none before stays, and so does, as it was, a text whose doc_id is NULL or repeated.
+    """
+    found = run.written(passages(run, docs), "passages")
+    once = docs.groupBy("doc_id").count().where("count = 1").select("doc_id")
+    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words")).alias("spans")).join(once, "doc_id", "left_semi")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id")
+    rows = rows.join(spans.hint("merge"), "doc_id", "left").select("row.*", F.col("spans").alias("passage spans"))
+    names = docs.columns
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, going = [], []
+            for text, some in zip(batch.column("text").to_pylist(), batch.column("passage spans").to_pylist()):
+                texts.append(cut_text(text, [(s["start"], s["n_words"]) for s in some]) if some else text)
+                going.append(not some or bool(words(texts[-1])))
+            columns = {name: batch.column(name) for name in names}
+            columns["text"] = pa.array(texts, columns["text"].type)
+            if "n_chars" in columns:
+                lengths = [len(t) if s else n for t, s, n in zip(texts, batch.column("passage spans").to_pylist(), columns["n_chars"].to_pylist())]
+                columns["n_chars"] = pa.array(lengths, columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names).filter(pa.array(going, pa.bool_()))
+
+    return rows.mapInArrow(cut, docs.schema)
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages(Run(spark, "op4"), spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -198,5 +198,12 @@ def near_duplicates(run: Run, docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def kept(run: Run, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id names their component, with all columns; rows without one stay."""
+    found = near_duplicates(run, docs).where("doc_id = component_id OR component_id IS NULL")
+    stay = run.written(found.select("doc_id").distinct(), "kept")
+    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(Run(spark, "op7"), spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -303,18 +303,22 @@ def _aligned_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _PASSAGES.split(", ")])
 
 
-def matches(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, first_id, first_pos: each seed against the first document that has it."""
+def matches(run: Run, docs: DataFrame) -> DataFrame:
+    """doc_id, pos, first_id, first_pos: each seed against the first document that has it.
+
+    The first ones are written before they are joined, so the join has exchanges of its own and Spark
+    splits the partition of a seed that very many documents have.
+    """
     found = docs.mapInArrow(_seed_batches, _SEEDS)
     firsts = found.groupBy("hash").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.max("doc_id").alias("last"))
     firsts = firsts.where("first.doc_id < last").select("hash", F.col("first.doc_id").alias("first_id"), F.col("first.pos").alias("first_pos"))
-    return found.join(firsts.hint("merge"), "hash").where("doc_id > first_id").select("doc_id", "first_id", "pos", "first_pos")
+    return found.join(run.written(firsts, "firsts").hint("merge"), "hash").where("doc_id > first_id").select("doc_id", "first_id", "pos", "first_pos")
 
 
 def pieces(run: Run, docs: DataFrame) -> DataFrame:
     """Aligned stretches that a document shares with one of smaller doc_id, of MIN_PIECE words or more."""
     rows = plain_rows(docs).where("doc_id IS NOT NULL")
-    ordered = matches(rows).repartition("doc_id", "first_id").sortWithinPartitions("doc_id", "first_id", "pos", "first_pos")
+    ordered = matches(run, rows).repartition("doc_id", "first_id").sortWithinPartitions("doc_id", "first_id", "pos", "first_pos")
     found = run.written(ordered.mapInArrow(_chain_batches, _CHAINS).withColumn("chain", F.monotonically_increasing_id()), "chains")
 
     # Words travel in tiles, each asked for once per document however many chains need it.

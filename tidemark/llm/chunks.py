@@ -18,8 +18,8 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Pieces a worker remembers before it starts anew: about 250 MB.
-REMEMBERED = 1_000_000
+#: Pieces, and words, that a worker remembers before it starts anew: about 150 MB together.
+REMEMBERED = 350_000
 
 _DOUBTFUL = re.compile(r" \s|\s ")
 _BOUNDARY = re.compile(r"(?<=\S)(?= \S)")

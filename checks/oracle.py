@@ -198,7 +198,7 @@ DIMENSIONS = {
 } | {
     "product_launch_date": f"""
 SELECT p_partkey, p_name,
-       MIN(CASE WHEN l_shipdate >= TIMESTAMP '{q.LAUNCHED_SINCE}' THEN l_shipdate END) AS launch_date
+       MIN(CASE WHEN p_brand <> '{q.UNSOLD_BRAND}' THEN l_shipdate END) AS launch_date
 FROM part LEFT JOIN lineitem ON p_partkey = l_partkey
 GROUP BY p_partkey, p_name
 """,

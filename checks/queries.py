@@ -27,7 +27,7 @@ AS_OF = datetime(2002, 1, 1, 9, 30)
 DIGEST_AS_OF = datetime(2024, 1, 31)
 RETENTION_AS_OF = datetime(2024, 2, 20)
 PLACE = "%NATION_1%"
-LAUNCHED_SINCE = "2001-01-01"
+UNSOLD_BRAND = "Brand#1"
 
 # ---- time series ------------------------------------------------------------------------
 
@@ -106,10 +106,13 @@ def dimension(spark: SparkSession, sf: str, spec: TableSpec) -> DataFrame:
 
 
 def launch_date(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts with the first day they were shipped in the period; some never were."""
-    lines = standins.base(spark, sf, "lineitem").where(
-        F.col("l_shipdate") >= F.lit(LAUNCHED_SINCE).cast("timestamp_ntz")
-    )
+    """Parts with the first day on which one was sold, over all sales but those of one brand.
+
+    The parts of that brand stand for products that were never sold.
+    """
+    lines = standins.base(spark, sf, "lineitem")
+    sold = standins.base(spark, sf, "part").where(F.col("p_brand") != UNSOLD_BRAND).select(F.col("p_partkey").alias("l_partkey"))
+    lines = lines.join(sold, "l_partkey", "left_semi")
     parts = standins.base(spark, sf, "part").select("p_partkey", "p_name")
     shipped = lines.select(F.col("l_partkey").alias("p_partkey"), "l_shipdate")
     return with_first_event(parts, shipped, "p_partkey", "l_shipdate", "launch_date")

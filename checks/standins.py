@@ -67,14 +67,17 @@ FROM events
 """
 
 # One JSON text per log row: two errors, the second without a message and with an explicit
-# null; and the texts a pipeline may send when it has nothing to say.
+# null, also after other white space; the texts a pipeline may send when it has nothing to say;
+# and two that are no JSON, for what follows the list and for their quotes.
 ERROR_LISTS = """
 SELECT LogID AS list_id,
        CASE LogID % 7
          WHEN 0 THEN ''
          WHEN 1 THEN ' [] '
          WHEN 2 THEN 'DEV: ' || ProcedureName
-         ELSE ' [{{"SchemaName": "' || SchemaName || '", "ProcedureName": "' || ProcedureName
+         WHEN 3 THEN '[{{"SchemaName": "s"}}] xyz'
+         WHEN 4 THEN REPLACE('[{{"SchemaName": "s"}}]', '"', CHR(39))
+         ELSE CASE WHEN LogID % 2 = 0 THEN CHR(10) || CHR(9) ELSE ' ' END || '[{{"SchemaName": "' || SchemaName || '", "ProcedureName": "' || ProcedureName
            || '", "Status": "' || Status || '", "ErrorMessage": "code ' || CAST(RowsInserted AS STRING)
            || '", "StartTime": "' || SUBSTR(CAST(StartTime AS STRING), 1, 19)
            || '", "EndTime": "' || SUBSTR(CAST(EndTime AS STRING), 1, 19)

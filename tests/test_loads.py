@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -258,3 +259,16 @@ def test_workbooks_to_raw_tables(spark, tmp_path):
 def test_a_missing_folder_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)path.*not.*exist"):
         loads.ingest_workbooks(spark, str(tmp_path / "none"))
+
+
+def test_cluster_without_a_shared_folder():
+    conf = SimpleNamespace(get=lambda *_: None)
+
+    def session(master):
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master=master, applicationId="test"))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            tables.shared_folder(session(master))
+    for master in ("local", "local[*]", "local[8]"):
+        assert tables.shared_folder(session(master)) == tables.shared_folder(session("local[2]"))

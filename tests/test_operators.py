@@ -160,13 +160,19 @@ def test_append_and_retention(spark):
     assert runlog.appended(df.where("false"), batch).agg(F.min("LogID")).first()[0] == 1
 
 
-@pytest.mark.parametrize("text", ["", "  ", "[]", " [] ", "DEV:\rp: x", '{"SchemaName": "x"}', '[{"a": "b"', "[1, 2]", None])
+@pytest.mark.parametrize("text", ["", "  ", "[]", " [] ", "DEV:\rp: x", '{"SchemaName": "x"}', '[{"a": "b"', "[1, 2]", '[{"SchemaName": "s"}] xyz', '[{"SchemaName": "s"}], 1', "[{'SchemaName': 's'}]", '[{"a": "b"}]]', None])
 def test_no_errors_to_report(spark, text):
     df = spark.createDataFrame([(text,)], "t string")
     assert errors.error_rows(df, "t").count() == 0
     assert errors.error_reports(df, "t", moment(LOG_AS_OF)).first().report is None
 
 
+@pytest.mark.parametrize("around", ["", "\n", "\t \r\n"])
+def test_white_space_around_errors(spark, around):
+    df = spark.createDataFrame([(around + '[{"SchemaName": "s"}]' + around,)], "t string")
+    assert [r.SchemaName for r in errors.error_rows(df, "t").collect()] == ["s"]
+
+
 def test_error_report(spark):
     text = '[{"SchemaName": "test_data", "ProcedureName": "p", "Status": "Error", "ErrorMessage": "m", "StartTime": "a", "EndTime": "b"}, {"Status": null}]'
     df = spark.createDataFrame([(text,)], "t string")

@@ -26,13 +26,18 @@ CLOSING = "  ⚡ Action Required: Check the procedures listed above."
 
 
 def parsed_errors(text: Column) -> Column:
-    """The text as an array of field maps; empty for empty, invalid or non-array text.
+    """The text as an array of field maps; NULL for empty, invalid or non-array text.
 
-    Maps, not a struct: a field that is absent and one that is null are told apart.
+    Maps, not a struct: a field that is absent and one that is null are told apart. White space of
+    any kind may stand around the list, but no other text. from_json stops reading after the first
+    value, so the list is read within an object and within an array: what follows it would have to
+    end both, which no text can.
     """
-    trimmed = F.trim(text)
-    parsed = F.from_json(trimmed, "array<map<string,string>>")
-    return F.when(trimmed.startswith("["), parsed).otherwise(None)
+    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
+    strict = {"allowSingleQuotes": "false"}
+    held = F.from_json(F.concat(F.lit('{"v":'), trimmed, F.lit("}")), "v array<map<string,string>>", strict)["v"]
+    alone = F.from_json(F.concat(F.lit("["), trimmed, F.lit("]")), "array<array<map<string,string>>>", strict)
+    return F.when(trimmed.startswith("[") & (F.size(alone) == 1) & F.try_element_at(alone, F.lit(1)).isNotNull(), held)
 
 
 def _field(error: Column, name: str) -> Column:

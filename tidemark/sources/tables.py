@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 from datetime import date
@@ -18,6 +19,8 @@ from tidemark.operators.upsert import MONTH
 PREVIEW_ROWS = 3
 PREVIEW_NAMES = 5
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 # A table option: an overwriting insert replaces only the partitions it has rows of, and may
 # read the table it writes, since files are moved in place after the job is done.
 REPLACE_BY_PARTITION = "OPTIONS (partitionOverwriteMode 'dynamic')"
@@ -26,12 +29,18 @@ REPLACE_BY_PARTITION = "OPTIONS (partitionOverwriteMode 'dynamic')"
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: the one the cluster names for checkpoints.
 
-    Only where none is named, as on a single machine, a temporary one is made and set.
+    Only a local session may name none: a temporary folder then serves it, and the session's
+    settings stay as they are. On a cluster a folder of one machine would lose rows, so that is an
+    error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        if context.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+        folder = _LOCAL_FOLDERS[context.applicationId]
     return folder.rstrip("/")
 
 

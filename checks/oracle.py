@@ -218,6 +218,13 @@ FACTS = {
     for name, query in q.FACTS.items()
     if hasattr(query, "keywords")
 } | {
+    "load_twice": f"""{_run(DEV["Hr"])}
+SELECT CAST(1 AS INT) AS run,
+       (SELECT COUNT(*) FROM inc WHERE HR_ID NOT IN (SELECT HR_ID FROM tgt)) AS rows_inserted,
+       (SELECT COUNT(*) FROM tgt AS t JOIN inc AS s ON t.HR_ID = s.HR_ID
+        WHERE {_changed(DEV["Hr"])}) AS rows_updated
+UNION ALL SELECT 2, 0, 0
+""",
     "watermark": f"{_run(SALES)} SELECT w AS watermark FROM mark",
     "increment": f"{_run(SALES)} SELECT * FROM inc",
     "late_rows": f"""{_run(SALES)}

@@ -110,10 +110,31 @@ def test_lookback_takes_late_corrections(spark):
     assert sales(spark)[0][2] == 99.0
 
 
+def test_shuffled_joins_load_the_same(spark):
+    first = [sale(k, "2024-01-05") for k in range(20)]
+    second = [sale(k, "2024-01-05", 10.0 + k % 3) for k in range(10, 30)]
+    found = []
+    for bounds in ({}, {"broadcast_keys": 0, "broadcast_bytes": 0}):
+        spark.sql("DROP TABLE IF EXISTS dev_data.Sales")
+        counts = []
+        for rows in (first, second):
+            put_raw(spark, "Sales", rows)
+            counts.append(loads.load_fact(spark, DEV["Sales"], as_of=AS_OF, **bounds))
+        found.append((counts, sales(spark)))
+    assert found[0] == found[1]
+    assert found[0][0] == [(20, 0), (10, 7)]
+
+
+def test_memory_size_counts_texts(spark):
+    rows = spark.sql("SELECT repeat('x', 1000) AS a, CAST(NULL AS STRING) AS b, 1L AS c FROM range(50)")
+    assert tables.memory_size(rows) == 50 * (1000 + 3 * 16)
+    assert tables.memory_size(rows.limit(0)) == 0
+
+
 def test_two_changes_of_one_row_stop_the_load(spark):
     load_sales(spark, [sale(1, "2024-01-05"), sale(2, "2024-01-04")])
     before = sales(spark)
-    with pytest.raises(RuntimeError, match="several rows would change one row, keys 1"):
+    with pytest.raises(RuntimeError, match="several rows would change one row, 1 keys, the first 1"):
         load_sales(spark, [sale(1, "2024-01-05", 11.0), sale(1, "2024-01-05", 12.0)])
     assert sales(spark) == before
     last = loads.log_rows(spark).orderBy(F.desc("LogID")).first()
@@ -219,6 +240,26 @@ def test_a_failing_load_does_not_stop_a_tier(spark):
     assert status["pr_dev_fact_sales"] == "Error"
 
 
+def test_a_log_that_cannot_be_written_does_not_stop_a_tier(spark, monkeypatch):
+    def refuse(*_):
+        raise OSError("log is full")
+
+    monkeypatch.setattr(loads, "append_log", refuse)
+    put_raw(spark, "Accounts", [{"Account_ID": "a"}])
+    outcomes = loads.run_tier(spark, "dev", as_of=AS_OF)
+    assert len(outcomes) == 13
+    assert {o.LogError for o in outcomes} == {"OSError: log is full"}
+    assert tables.table_rows(spark, DEV["Accounts"]).count() == 1
+
+
+def test_the_log_is_kept_by_the_clock_and_loads_look_back(spark):
+    load_sales(spark, [sale(1, "2024-01-05"), sale(2, "2024-01-10")])
+    put_raw(spark, "Sales", [sale(1, "2024-01-05", 99.0), sale(2, "2024-01-10")])
+    done = loads.load(spark, "dev", "Sales", as_of=datetime(2199, 1, 1), lookback_days=7)
+    assert (done.RowsUpdated, done.LogError) == (1, None)
+    assert loads.log_rows(spark).count() == 2
+
+
 def test_log_retention(spark):
     def outcome(start):
         return loads.Outcome("dev_data", "p", when(start), AS_OF, 1, 0, "Success", None)
@@ -249,6 +290,7 @@ def test_workbooks_to_raw_tables(spark, tmp_path):
     assert by_name["broken.xlsx"].Status == "Error"
     assert by_name["raw_data.dim_accounts"].RowsInserted == 2
     assert "equal after cleaning" in by_name["raw_data.clash"].ErrorMessage
+    assert "no sheet Empty" in by_name["raw_data.empty"].ErrorMessage
     assert "2 sheets" in by_name["raw_data.twin_1"].ErrorMessage
     sold = spark.table("raw_data.FACT_Sales")
     assert dict(sold.dtypes) == {"Sales_ID": "bigint", "Total_Amount_RON": "double"}

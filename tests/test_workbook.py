@@ -114,3 +114,18 @@ def test_folder_of_workbooks(spark, tmp_path):
     (tmp_path / "notes.txt").write_text("no")
     df = workbook.workbook_files(spark, str(tmp_path))
     assert [r.path.rsplit("/", 1)[-1] for r in df.collect()] == ["a.xlsx"]
+
+
+def test_empty_sheets_missing_texts_and_iso_dates(spark):
+    body = (
+        '<row r="1"><c r="A1" t="inlineStr"><is><t>NA</t></is></c><c r="B1" t="inlineStr"><is><t>day</t></is></c></row>'
+        '<row r="2"><c r="A2"><v>1</v></c><c r="B2" t="d"><v>2024-01-05T10:00:00Z</v></c></row>'
+        '<row r="3"><c r="A3" t="inlineStr"><is><t>n/a</t></is></c></row>'
+    )
+    df = workbook.sheet_table(workbook.sheet_rows(files(spark, b=office_bytes(body))), "S")
+    assert df.dtypes == [("NA", "bigint"), ("day", "timestamp_ntz")]
+    assert [tuple(map(str, r)) for r in df.collect()] == [("1", "2024-01-05 10:00:00"), ("None", "None")]
+    found = workbook.sheet_rows(files(spark, b=workbook_bytes({"Full": [["h"], ["NA"]], "Empty": []})))
+    listed = {r.sheet: (r.row_count, r.column_count, r.columns) for r in workbook.manifest(found).collect()}
+    assert listed == {"Full": (1, 1, ["h"]), "Empty": (0, 0, [])}
+    assert workbook.cells(found).count() == 0

@@ -1,4 +1,4 @@
-"""Incremental upsert: high watermark, increment, change detection, merge.
+"""Incremental upsert: high watermark, increment, change detection, updated and new rows.
 
 Every function takes and returns DataFrames and works for any table with a key, an event
 column and a list of compared columns. ``rule`` is a ``TableSpec`` or anything with its
@@ -136,17 +136,6 @@ def updated(target: DataFrame, rows: DataFrame, rule) -> DataFrame:
     )
 
 
-def merge(target: DataFrame, rows: DataFrame, rule) -> DataFrame:
-    """The target after the upsert: changed rows updated, rows without a partner added.
-
-    Update and insert are two joins rather than one full outer join: the target's wide
-    rows can then stay where they are whenever the increment is small enough to broadcast,
-    and the anti join needs its keys only.
-    """
-    added = new_rows(rows, target, rule.key)
-    return updated(target, rows, rule).unionByName(added.select(*map(quoted, rule.names)))
-
-
 def upsert_counts(target: DataFrame, rows: DataFrame, rule) -> DataFrame:
     """One row: how many rows the merge inserts and updates."""
     inserted = new_rows(rows, target, rule.key).agg(F.count(F.lit(1)).alias("n"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass, replace
 from datetime import datetime, timedelta, timezone
 from functools import partial
 
@@ -27,10 +27,10 @@ RAW = "raw_data"
 LOG = "admin_logging.ExecutionLogs"
 LOG_DAY = "log_day"
 
-# Bounds for a broadcast: keys of an increment (a BIGINT each), and bytes on disk of the
+# Bounds for a broadcast: keys of an increment (a BIGINT each), and bytes in memory of the
 # rows that update a fact. Beyond them the join is a shuffled one.
 BROADCAST_KEYS = 5_000_000
-BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 class AmbiguousUpsert(ValueError):
@@ -47,6 +47,8 @@ class Outcome:
     RowsUpdated: int
     Status: str
     ErrorMessage: str | None
+    # Why the outcome is not in the run log; no column of the log.
+    LogError: str | None = None
 
 
 OUTCOME_DDL = (
@@ -93,7 +95,7 @@ def ingest_workbooks(
         taken = Counter(names.values())
         for sheet, name in names.items():
             job = partial(_write_sheet, good, sheet, name, overwrite, taken[name])
-            outcomes.append(_captured(raw, name, job))
+            outcomes.append(_captured(raw, name, job)[0])
     return outcomes
 
 
@@ -130,9 +132,14 @@ def load_fact(
     raw: str = RAW,
     as_of: datetime | None = None,
     lookback_days: int = 0,
+    broadcast_keys: int = BROADCAST_KEYS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    source: DataFrame | None = None,
 ) -> tuple[int, int]:
     """Incremental upsert of one fact; rows inserted and updated.
 
+    ``source`` stands in for the table the spec names as its source.
+
     The source is scanned once: the increment is written to the shared folder, and all that
     follows reads it from there with its size known. The target is scanned once for key and
     compared columns. Without updates new rows are appended and nothing is rewritten; else
@@ -140,26 +147,29 @@ def load_fact(
     """
     tables.create_if_missing(spark, spec)
     with tables.Staging(spark, spec.table) as staging:
-        return _upsert(spark, spec, raw, as_of, lookback_days, staging)
+        source = _source(spark, spec, raw) if source is None else source
+        return _upsert(source, spec, as_of, lookback_days, staging, broadcast_keys, broadcast_bytes)
 
 
 def _upsert(
-    spark: SparkSession,
+    source: DataFrame,
     spec: TableSpec,
-    raw: str,
     as_of: datetime | None,
     lookback_days: int,
     staging: tables.Staging,
+    broadcast_keys: int,
+    broadcast_bytes: int,
 ) -> tuple[int, int]:
+    spark = source.sparkSession
     table = spark.table(spec.full_name)
     months = tables.partition_values(spark, spec.full_name)
     newest = table.where(F.col(MONTH) == F.lit(months[-1])) if months else table
     since = upsert.watermark_literal(newest, spec.event)
-    found = upsert.increment(_source(spark, spec, raw), spec.source_event, since, lookback_days)
+    found = upsert.increment(source, spec.source_event, since, lookback_days)
     rows = staging.write(upsert.shaped_for(spec, found, moment(as_of)), "increment")
     rows = _unambiguous(table, rows, spec, staging)
 
-    matches = staging.write(_matches(table, rows, spec), "matches")
+    matches = staging.write(_matches(table, rows, spec, broadcast_keys), "matches")
     moves = matches.where("changed").groupBy(MONTH, "new_month").count().collect()
     n_updated = sum(move["count"] for move in moves)
     added = upsert.new_rows(rows, matches, spec.key).select(*map(quoted, spec.names))
@@ -172,7 +182,7 @@ def _upsert(
         emptied = _emptied(part, moves, {r[MONTH] for r in by_month})
         changed_keys = matches.where("changed").select(quoted(spec.key))
         updates = staging.write(rows.join(changed_keys, spec.key, "left_semi"), "updates")
-        if staging.size("updates") <= BROADCAST_BYTES:
+        if tables.memory_size(updates) <= broadcast_bytes:
             # The rewritten rows stay in the tasks that read them, month by month.
             kept = tables.with_month(upsert.updated(part, F.broadcast(updates), spec), spec)
         else:
@@ -185,7 +195,7 @@ def _upsert(
     return n_inserted, n_updated
 
 
-def _matches(table: DataFrame, rows: DataFrame, spec: TableSpec) -> DataFrame:
+def _matches(table: DataFrame, rows: DataFrame, spec: TableSpec, broadcast_keys: int) -> DataFrame:
     """Key, month before and after, and whether it changes, of each target row with a partner.
 
     The target is first reduced to the increment's keys. Up to a checked number of keys
@@ -193,7 +203,7 @@ def _matches(table: DataFrame, rows: DataFrame, spec: TableSpec) -> DataFrame:
     """
     compared = [spec.key, *spec.compare, *spec.compare_null_safe]
     keys = rows.select(quoted(spec.key))
-    if rows.count() <= BROADCAST_KEYS:
+    if rows.count() <= broadcast_keys:
         keys = F.broadcast(keys)
     return (
         table.select(*map(quoted, compared), MONTH)
@@ -216,10 +226,13 @@ def _unambiguous(
     if upsert.repeated_keys(rows, spec.key).isEmpty():
         return rows
     changes = staging.write(upsert.changes_per_key(table, rows, spec), "repeats")
-    twice = changes.where(F.col("n_changes") > 1).orderBy(quoted(spec.key)).take(5)
-    if twice:
-        keys = ", ".join(str(r[0]) for r in twice)
-        raise AmbiguousUpsert(f"{spec.full_name}: several rows would change one row, keys {keys}")
+    twice = changes.where(F.col("n_changes") > 1)
+    first = twice.orderBy(quoted(spec.key)).take(5)
+    if first:
+        keys = ", ".join(str(r[0]) for r in first)
+        raise AmbiguousUpsert(
+            f"{spec.full_name}: several rows would change one row, {twice.count()} keys, the first {keys}"
+        )
     return staging.write(upsert.without_copies(rows, changes, spec), "single")
 
 
@@ -240,15 +253,18 @@ def _emptied(part: DataFrame, moves: list, added_months: set) -> list:
 # ---- run log ----------------------------------------------------------------------------
 
 
-def _captured(schema: str, name: str, job: Callable[[], tuple[int, int]]) -> Outcome:
+def _captured(
+    schema: str, name: str, job: Callable[[], tuple[int, int]]
+) -> tuple[Outcome, Exception | None]:
     """Run a job; a failure becomes part of its outcome, with no rows counted."""
     start = _now()
     try:
         inserted, updated = job()
     except Exception as error:
         text = str(error) or type(error).__name__
-        return Outcome(schema, name, start, _now(), 0, 0, "Error", text[: runlog.ERROR_LENGTH])
-    return Outcome(schema, name, start, _now(), inserted, updated, "Success", None)
+        failed = Outcome(schema, name, start, _now(), 0, 0, "Error", text[: runlog.ERROR_LENGTH])
+        return failed, error
+    return Outcome(schema, name, start, _now(), inserted, updated, "Success", None), None
 
 
 def create_log(spark: SparkSession) -> None:
@@ -266,7 +282,8 @@ def log_rows(spark: SparkSession) -> DataFrame:
 
 def append_log(spark: SparkSession, outcomes: list[Outcome]) -> None:
     create_log(spark)
-    batch = spark.createDataFrame([tuple(vars(o).values()) for o in outcomes], OUTCOME_DDL)
+    rows = [astuple(replace(o, LogError=None))[:-1] for o in outcomes]
+    batch = spark.createDataFrame(rows, OUTCOME_DDL)
     rows = runlog.outcome_rows(batch, runlog.last_log_id(log_rows(spark)))
     _with_day(rows).coalesce(1).write.insertInto(LOG)
 
@@ -296,30 +313,52 @@ def retain_log(spark: SparkSession, as_of: datetime | None = None) -> None:
 # ---- loads and tiers --------------------------------------------------------------------
 
 
-def _outcome(spark: SparkSession, spec: TableSpec, raw: str, as_of: datetime | None) -> Outcome:
+def _logged(
+    spark: SparkSession, spec: TableSpec, raw: str, as_of: datetime | None, lookback_days: int
+) -> tuple[Outcome, Exception | None]:
+    """Run one load and log it. What keeps the log from being written stands in the outcome.
+
+    ``as_of`` is the date the loads count from; the log is kept by the clock.
+    """
+
     def job() -> tuple[int, int]:
         if spec.is_fact:
-            return load_fact(spark, spec, raw, as_of)
+            return load_fact(spark, spec, raw, as_of, lookback_days)
         return load_dimension(spark, spec, raw)
 
-    outcome = _captured(spec.schema_name, procedure_name(spec), job)
-    append_log(spark, [outcome])
-    retain_log(spark, as_of)
-    return outcome
+    outcome, cause = _captured(spec.schema_name, procedure_name(spec), job)
+    try:
+        append_log(spark, [outcome])
+        retain_log(spark)
+    except Exception as error:
+        outcome = replace(outcome, LogError=f"{type(error).__name__}: {error}")
+    return outcome, cause
 
 
 def load(
-    spark: SparkSession, tier: str, table: str, raw: str = RAW, as_of: datetime | None = None
+    spark: SparkSession,
+    tier: str,
+    table: str,
+    raw: str = RAW,
+    as_of: datetime | None = None,
+    lookback_days: int = 0,
 ) -> Outcome:
     """Run one load and log it; a failure is logged and then raised."""
-    outcome = _outcome(spark, SPECS[tier][table], raw, as_of)
-    if outcome.Status == "Error":
-        raise RuntimeError(outcome.ErrorMessage)
+    outcome, cause = _logged(spark, SPECS[tier][table], raw, as_of, lookback_days)
+    if cause is not None:
+        raise RuntimeError(outcome.ErrorMessage) from cause
     return outcome
 
 
 def run_tier(
-    spark: SparkSession, tier: str, raw: str = RAW, as_of: datetime | None = None
+    spark: SparkSession,
+    tier: str,
+    raw: str = RAW,
+    as_of: datetime | None = None,
+    lookback_days: int = 0,
 ) -> list[Outcome]:
-    """Run all loads of a tier, facts first; a failing one does not stop the others."""
-    return [_outcome(spark, spec, raw, as_of) for spec in SPECS[tier].values()]
+    """Run all loads of a tier, facts first.
+
+    Neither a failing load nor a log that cannot be written stops the others.
+    """
+    return [_logged(spark, spec, raw, as_of, lookback_days)[0] for spec in SPECS[tier].values()]

@@ -18,6 +18,7 @@ from tidemark.operators.upsert import MONTH
 
 PREVIEW_ROWS = 3
 PREVIEW_NAMES = 5
+TEXT_TYPES = ("string", "varchar", "char")
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -77,10 +78,12 @@ class Staging:
     def write(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         return staged(df, name, *partition_by, folder=self.folder)
 
-    def size(self, name: str) -> int:
-        """Bytes of what was written under a name."""
-        files, path = _files(self.spark, f"{self.folder}/{name}")
-        return files.getContentSummary(path).getLength()
+
+def memory_size(df: DataFrame) -> int:
+    """Bytes the rows take in memory, about: the texts at their length, 16 for every value."""
+    texts = [F.coalesce(F.octet_length(quoted(f.name)), F.lit(0)) for f in df.schema if f.dataType.typeName() in TEXT_TYPES]
+    length = sum(texts, F.lit(16 * len(df.columns)))
+    return df.agg(F.coalesce(F.sum(length.cast("long")), F.lit(0))).first()[0]
 
 
 def _files(spark: SparkSession, folder: str):

@@ -18,6 +18,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from functools import partial
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -40,6 +41,13 @@ ROW_DDL = (
 )
 NO_CELL = (" ", None)
 
+# Texts that mean a missing value below the header, as spreadsheet readers in Python
+# take them by default.
+MISSING = frozenset(
+    ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN"]
+    + ["<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+)
+
 
 def workbook_files(spark: SparkSession, folder: str) -> DataFrame:
     """Path and bytes of each workbook under a folder; a missing folder is an error."""
@@ -100,9 +108,11 @@ def _column_index(reference: str) -> int:
 
 
 class _Decoder:
-    """Cell values of one workbook as text; None for an empty cell."""
+    """Cell values of one workbook as text; None for an empty cell or, below the header, a text of
+    ``missing``."""
 
-    def __init__(self, book: zipfile.ZipFile):
+    def __init__(self, book: zipfile.ZipFile, missing: frozenset[str] = MISSING):
+        self.missing = missing
         self.texts = _shared_texts(book)
         self.date_styles = _date_styles(book)
         properties = ElementTree.fromstring(book.read("xl/workbook.xml")).find(f"{MAIN}workbookPr")
@@ -124,6 +134,8 @@ class _Decoder:
         if kind == "n" and int(cell.get("s", 0)) in self.date_styles:
             moment = self.epoch + timedelta(seconds=round(float(stored) * 86400, 6))
             return "d", moment.isoformat(sep=" ")
+        if kind == "d":
+            return "d", datetime.fromisoformat(stored.removesuffix("Z")).isoformat(sep=" ")
         return ("n" if kind == "n" else "s"), stored
 
     def rows(self, part) -> Iterator[tuple[int, list[str | None], str]]:
@@ -146,6 +158,9 @@ class _Decoder:
                 continue
             for empty in range(due, number):
                 yield empty, [], ""
+            if number > 1:
+                # A row of nothing but such texts is still a row.
+                cells = [NO_CELL if c[0] == "s" and c[1] in self.missing else c for c in cells]
             yield number, [text for _, text in cells], "".join(kind for kind, _ in cells)
             due = number + 1
 
@@ -170,11 +185,13 @@ ROWS_PER_BATCH = 10_000
 _ROW_NAMES = ["workbook", "position", "sheet", "row_no", "cells", "kinds", "error"]
 
 
-def _read_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read_sheets(
+    batches: Iterator[pd.DataFrame], missing: frozenset[str]
+) -> Iterator[pd.DataFrame]:
     for files in batches:
         for path, content in zip(files["path"], files["content"]):
             held: list[tuple] = []
-            for row in _workbook_rows(path, content):
+            for row in _workbook_rows(path, content, missing):
                 held.append(row)
                 if len(held) == ROWS_PER_BATCH:
                     yield pd.DataFrame(held, columns=_ROW_NAMES)
@@ -183,16 +200,17 @@ def _read_sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(held, columns=_ROW_NAMES)
 
 
-def _workbook_rows(path: str, content: bytes) -> Iterator[tuple]:
+def _workbook_rows(path: str, content: bytes, missing: frozenset[str]) -> Iterator[tuple]:
     try:
         book = zipfile.ZipFile(io.BytesIO(content))
         parts = _sheet_parts(book)
-        decoder = _Decoder(book)
+        decoder = _Decoder(book, missing)
     except Exception as error:
         yield path, None, None, None, None, None, f"{type(error).__name__}: {error}"
         return
     with book:
         for position, (sheet, part) in enumerate(parts, 1):
+            number = None
             try:
                 with book.open(part) as stream:
                     for number, cells, kinds in decoder.rows(stream):
@@ -200,11 +218,18 @@ def _workbook_rows(path: str, content: bytes) -> Iterator[tuple]:
             except Exception as error:
                 # The other sheets go on; ``good_rows`` leaves this one out.
                 yield path, position, sheet, None, None, None, f"{type(error).__name__}: {error}"
+            else:
+                if number is None:
+                    yield path, position, sheet, None, None, None, None
 
 
-def sheet_rows(files: DataFrame) -> DataFrame:
-    """Rows of all sheets, the header row included, and a row with ``error`` per failure."""
-    return files.mapInPandas(_read_sheets, ROW_DDL)
+def sheet_rows(files: DataFrame, missing: frozenset[str] = MISSING) -> DataFrame:
+    """Rows of all sheets, the header row included, and a row with ``error`` per failure.
+
+    A sheet without rows gives one row without ``row_no``. Texts of ``missing`` are NULL below the
+    header.
+    """
+    return files.mapInPandas(partial(_read_sheets, missing=missing), ROW_DDL)
 
 
 def good_rows(rows: DataFrame) -> DataFrame:
@@ -226,15 +251,17 @@ def cells(rows: DataFrame) -> DataFrame:
 def manifest(rows: DataFrame) -> DataFrame:
     """Data rows, columns and headers of each sheet.
 
-    Comes from the sheets themselves, so it also lists one that later fails to load.
+    Comes from the sheets themselves, so it also lists one that later fails to load, and one
+    without rows.
     """
+    none = F.array().cast("array<string>")
     return (
         rows.where(F.col("error").isNull())
         .groupBy("workbook", "sheet")
         .agg(
-            (F.max("row_no") - 1).cast("bigint").alias("row_count"),
-            F.max(F.size("cells")).alias("column_count"),
-            F.max(F.when(F.col("row_no") == 1, F.col("cells"))).alias("columns"),
+            F.coalesce(F.max("row_no") - 1, F.lit(0)).cast("bigint").alias("row_count"),
+            F.coalesce(F.max(F.size("cells")), F.lit(0)).alias("column_count"),
+            F.coalesce(F.max(F.when(F.col("row_no") == 1, F.col("cells"))), none).alias("columns"),
         )
     )
 

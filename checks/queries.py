@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,7 +16,7 @@ from tidemark.functions.dates import days_between, moment, plus_days
 from tidemark.functions.names import normalize_headers, table_name_column
 from tidemark.operators import runlog, timeseries, upsert
 from tidemark.operators.conform import conform, inferred_types, quoted
-from tidemark.operators.refresh import counted, refreshed, with_first_event
+from tidemark.operators.refresh import refreshed, with_first_event
 from tidemark.plans import loads
 from tidemark.plans.specs import DEV, SPECS, TIERS, TableSpec
 from tidemark.session import tuned
@@ -30,6 +30,16 @@ RETENTION_AS_OF = datetime(2024, 2, 20)
 PLACE = "%NATION_1%"
 UNSOLD_BRAND = "Brand#1"
 
+
+def _own_database(spark: SparkSession, name: str) -> None:
+    """An empty database in the shared folder.
+
+    The next run of the same query drops it, so a result is to be used before.
+    """
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tables.staging_path(spark, name)}'")
+
+
 # ---- time series ------------------------------------------------------------------------
 
 
@@ -52,9 +62,14 @@ def covid_cte(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def covid_temp_table(spark: SparkSession, sf: str) -> DataFrame:
-    report = timeseries.typed_vaccination_report(_cases(spark, sf), _doses(spark, sf))
-    report.createOrReplaceTempView("percent_population_vaccinated")
-    return timeseries.with_vaccinated_percentage(spark.table("percent_population_vaccinated"))
+    """The report inserted by position into a typed table that is made anew."""
+    _own_database(spark, "check_report")
+    name = "check_report.percent_population_vaccinated"
+    tables.recreate(spark, name, dict(zip(timeseries.REPORT_COLUMNS, timeseries.REPORT_TYPES)))
+    tables.append_by_position(
+        timeseries.running_vaccinations(_cases(spark, sf), _doses(spark, sf)), name
+    )
+    return timeseries.with_vaccinated_percentage(spark.table(name))
 
 
 def covid_view(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,14 +135,20 @@ def launch_date(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def refresh_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Refresh every dev dimension into a table of its own; rows inserted by each."""
-    counts = []
+    """Refresh every dev dimension into a table of its own; rows each table then has.
+
+    The count each refresh reports must be the same.
+    """
+    _own_database(spark, "check_refresh_data")
+    found = []
     for name, spec in DEV.items():
         if not spec.is_fact:
-            rows, seen = counted(dimension(spark, sf, spec), name)
-            rows.write.parquet(tables.staging_path(spark, f"refresh-{name}"))
-            counts.append((name, seen.get["n"]))
-    return spark.createDataFrame(counts, "table_name string, rows_inserted bigint")
+            own = replace(spec, tier="check_refresh")
+            seen = tables.replace_rows(dimension(spark, sf, spec), own)
+            held = tables.table_rows(spark, own).agg(F.count(F.lit(1)).alias("rows_inserted"))
+            same = F.assert_true(F.col("rows_inserted") == seen.get["n"])
+            found.append(held.where(same.isNull()).select(F.lit(name).alias("table_name"), "rows_inserted"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _snake(table: str) -> str:
@@ -161,14 +182,9 @@ def fact(spark: SparkSession, sf: str, spec: TableSpec) -> tuple[DataFrame, Data
 
 
 def _own_table(spark: SparkSession, sf: str, spec: TableSpec) -> TableSpec:
-    """The spec of a table filled with the stand-in target, in a database of its own.
-
-    The next run of the same query drops that database, so a result is to be used before.
-    """
+    """The spec of a table filled with the stand-in target, in a database of its own."""
     own = replace(spec, tier=f"check_{spec.tier}_{spec.table.lower()}")
-    spark.sql(f"DROP DATABASE IF EXISTS {own.schema_name} CASCADE")
-    folder = tables.staging_path(spark, own.schema_name)
-    spark.sql(f"CREATE DATABASE {own.schema_name} LOCATION '{folder}'")
+    _own_database(spark, own.schema_name)
     tables.create_if_missing(spark, own)
     tables.append_months(tables.by_month(standins.target(spark, sf, spec), own), own)
     return own
@@ -384,9 +400,7 @@ def infer_types(spark: SparkSession, sf: str) -> DataFrame:
 
 def overwrite_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Overwrite a table with rows of another schema and read it back."""
-    spark.sql("DROP DATABASE IF EXISTS check_overwrite CASCADE")
-    folder = tables.staging_path(spark, "check_overwrite")
-    spark.sql(f"CREATE DATABASE check_overwrite LOCATION '{folder}'")
+    _own_database(spark, "check_overwrite")
     name = "check_overwrite.customers"
     tables.overwrite(standins.base(spark, sf, "supplier").select("s_suppkey"), name)
     tables.overwrite(normalized_headers(spark, sf), name)

@@ -5,7 +5,8 @@
 ``new_deaths``; ``vaccinations`` has ``location``, ``date`` and, as text,
 ``new_vaccinations``. Rows without a continent are sums over several places.
 
-Shares are in percent and NULL where the divisor is zero.
+Shares are in percent and NULL where the divisor is zero. The names of the columns read and made
+are fixed values.
 """
 
 from __future__ import annotations
@@ -218,11 +219,3 @@ def with_vaccinated_percentage(report: DataFrame) -> DataFrame:
 def vaccination_report(cases: DataFrame, vaccinations: DataFrame) -> DataFrame:
     """Columns renamed by position."""
     return running_vaccinations(cases, vaccinations).toDF(*REPORT_COLUMNS)
-
-
-def typed_vaccination_report(cases: DataFrame, vaccinations: DataFrame) -> DataFrame:
-    """The report as rows of its typed table: whole numbers, rounded on insert."""
-    report = vaccination_report(cases, vaccinations)
-    return report.select(
-        *[F.col(c).cast(kind).alias(c) for c, kind in zip(REPORT_COLUMNS, REPORT_TYPES)]
-    )

@@ -51,6 +51,7 @@ class Outcome:
     LogError: str | None = None
 
 
+# Columns of the log that an outcome fills, in their order there.
 OUTCOME_DDL = (
     "SchemaName string, ProcedureName string, StartTime timestamp_ntz, EndTime timestamp_ntz, "
     "RowsInserted bigint, RowsUpdated bigint, Status string, ErrorMessage string"

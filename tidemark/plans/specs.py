@@ -191,7 +191,8 @@ SALES = _columns(
 # Days from a purchase to its approval.
 APPROVAL_DAYS = 2
 
-# In load order: facts first, then dimensions.
+# Names of the tables and their sources, the event of each fact, the columns whose
+# change updates a row, and those never updated. In load order: facts first, then dimensions.
 DEV = {
     spec.table: spec
     for spec in (

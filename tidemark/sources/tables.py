@@ -132,6 +132,13 @@ def create_only(df: DataFrame, name: str) -> None:
     df.write.mode("errorifexists").format("parquet").saveAsTable(name)
 
 
+def recreate(spark: SparkSession, name: str, columns: dict[str, str]) -> None:
+    """Drop a table, if there is one, and create it empty with columns of the given types."""
+    listed = ", ".join(f"`{column}` {kind}" for column, kind in columns.items())
+    spark.sql(f"DROP TABLE IF EXISTS {_ident(name)}")
+    spark.sql(f"CREATE TABLE {_ident(name)} ({listed}) USING parquet")
+
+
 def append_by_position(df: DataFrame, name: str) -> None:
     """Insert into a typed table by position; values are cast to its types."""
     spark = df.sparkSession

@@ -176,3 +176,23 @@ def test_lm_scores(spark, monkeypatch):
     assert np.mean([got[i].score for i in range(90) if i % 3 == 0 and got[i].n_tokens]) < np.mean([got[i].score for i in range(90) if i % 3 and got[i].n_tokens])
     assert len(lm_score.scored(Run(spark, "test9"), docs, target.limit(0), 20).collect()) == len(texts)
     assert lm_score.scored(Run(spark, "test9"), docs.limit(0), target, 20).collect() == []
+
+
+def test_lm_scores_know_every_word(spark, monkeypatch):
+    """More words than any fixed vocabulary, many of them rare, with one word and one pair in all texts."""
+    rng = random.Random(16)
+    texts = [" ".join(["the very", *(f"w{rng.randrange(90000)}" if rng.random() < 0.7 else "the" for _ in range(rng.randrange(100)))]) for _ in range(150)]
+    texts += [None, " ", "the very " * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    targets = list(range(0, 150, 4))
+    target = spark.createDataFrame([(i,) for i in targets], "doc_id long")
+    monkeypatch.setattr(lm_score, "COUNTED", 500)
+    distinct = len({w for t in texts for w in (t or "").split()})
+    assert distinct > 4096
+    expected = brute_losses(texts, targets, distinct + 2)
+    for most in (lm_score.BROADCAST_IDS, 0):
+        monkeypatch.setattr(lm_score, "BROADCAST_IDS", most)
+        got = {r.doc_id: r for r in lm_score.scored(Run(spark, "test9"), docs, target).collect()}
+        assert len(got) == len(texts)
+        for i, (a, b) in enumerate(expected):
+            assert (got[i].target_loss, got[i].background_loss) == ((None, None) if a is None else (pytest.approx(a, rel=1e-9), pytest.approx(b, rel=1e-9)))

@@ -1,32 +1,81 @@
 """Cross-entropy difference: how much likelier a document is to a target model than to a background.
 
-Both models are bigram models of the same form over one vocabulary: the words most frequent in the
-whole corpus, any other word being the unknown word. Words, and pairs of words, are counted over all
-documents by one pass each, the target's pairs in the same pass. A pair's probability is its share after the first word, mixed with the share of the second word by a fixed prior weight.
+Both models are bigram models of the same form over one vocabulary: every word of the corpus, or the
+most frequent ones, any other word then being the unknown word. A pair's probability is its share
+after the first word, mixed with the share of the second word by a fixed prior weight, so that a
+word's loss is log(after(first) + PRIOR) - log(n(first, second) + PRIOR * share(second)).
+
+Nothing that grows with the vocabulary is gathered. Documents are taken in chunks; the pairs of a
+chunk are dealt by their second word, those of frequent words by both words, and go in packed arrays
+to the task that counts them. It sends back sums per document. Words are known by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.byte_bpe import plain_rows, text_batches
 from tidemark.llm.stage import Run
 
-#: Words of the shared vocabulary, with the unknown word and the start of a text. Pairs are at most its
-#: square, which bounds what is broadcast: 16.8 million pairs.
-VOCABULARY = 4096
 #: Weight of the second word's own share, in occurrences of the first word.
 PRIOR = 50.0
-#: Words and pairs counted in one go.
-COUNTED = 1 << 21
-
-UNKNOWN, START = 0, 1
-_PAIRS = pa.schema([("pair", pa.int32()), ("n", pa.int64()), ("n_target", pa.int64())])
+#: Words of a chunk, and half of those whose pairs one task counts.
+COUNTED = 1 << 20
+#: Texts of a chunk at most.
+TEXTS = 1 << 16
+#: Ids of the target that are broadcast at most; more are joined by sorting.
+BROADCAST_IDS = 2_000_000
+
+#: Hashes of what is no word. FIRST stands for any second word: its pairs count first words.
+UNKNOWN, START, FIRST = 0, 1, 2
+_PACKED = "bucket int, kind int, chunk long, a binary, b binary, n binary, m binary"
+#: Kinds of packed rows, in the order in which they are read.
+_COUNTS, _TEXTS, _IDS = 0, 1, 2
+_SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+
+
+def _hash(word: str | None) -> int:
+    if word is None:
+        return UNKNOWN
+    h = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    return h if h > FIRST else h + FIRST + 1
+
+
+class _Codes(dict):
+    """Small numbers for the words of a chunk; 0 and 1 are START and FIRST."""
+
+    def __missing__(self, word: str | None) -> int:
+        self[word] = code = len(self) + 2
+        return code
+
+    def hashes(self) -> np.ndarray:
+        return np.fromiter((START, FIRST, *map(_hash, self)), np.uint64, len(self) + 2)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], known: set[str] | None) -> Iterator[tuple[np.ndarray, list[np.ndarray], list, list]]:
+    """Hashes by code, codes of each text, ids and target marks of some texts at a time."""
+    codes, held, ids, marks, total = _Codes(), [], [], [], 0
+    for batch in batches:
+        for doc_id, text, mark in zip(*(batch.column(c) for c in ("doc_id", "text", "in_target"))):
+            some = (text.as_py() or "").split()
+            if held and (total + len(some) > COUNTED or len(held) == TEXTS):
+                yield codes.hashes(), held, ids, marks
+                codes, held, ids, marks, total = _Codes(), [], [], [], 0
+            if known is not None:
+                some = [w if w in known else None for w in some]
+            held.append(np.fromiter(map(codes.__getitem__, some), np.int32, len(some)))
+            ids.append(doc_id.as_py())
+            marks.append(bool(mark.as_py()))
+            total += len(some)
+    if held:
+        yield codes.hashes(), held, ids, marks
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,105 +94,184 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield taken()
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
+def vocabulary(docs: DataFrame, size: int) -> list[str]:
     """The most frequent words of all documents; of equally frequent ones the first by byte order."""
     words = plain_rows(docs).mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [r.word for r in words.orderBy(F.desc("n"), "word").limit(size - 2).collect()]
 
 
-def token_pairs(text: str, numbers: dict[str, int], size: int) -> np.ndarray:
-    """first * size + second for each word of the text and the one before it."""
-    words = text.split()
-    ids = np.empty(len(words) + 1, np.int32)
-    ids[0] = START
-    ids[1:] = np.fromiter((numbers.get(w, UNKNOWN) for w in words), np.int32, len(words))
-    return ids[:-1] * np.int32(size) + ids[1:]
-
-
-def pair_counts(docs: DataFrame, words: list[str], size: int) -> DataFrame:
-    """pair, n, n_target over all of ``docs`` (text, in_target).
-
-    Summed in the tasks, chunk by chunk, so at most one row per pair and chunk is shuffled.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words, 2)})
+def word_counts(marked: DataFrame, known: set[str] | None) -> DataFrame:
+    """word (hash), n, n_target over all of ``marked``; at most a row per word and chunk is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        inside: list[np.ndarray] = []
-
-        def taken() -> pa.RecordBatch:
-            pairs, n = np.unique(np.concatenate(held), return_counts=True)
-            n_target = np.zeros(len(pairs), np.int64)
-            some, m = np.unique(np.concatenate(inside), return_counts=True) if inside else ([], [])
-            n_target[np.searchsorted(pairs, some)] = m
-            held.clear()
-            inside.clear()
-            return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n, pa.int64()), pa.array(n_target)], schema=_PAIRS)
-
-        for batch in batches:
-            for text, target in zip(batch.column("text"), batch.column("in_target").to_pylist()):
-                held.append(token_pairs(text.as_py() or "", shared.value, size))
-                if target:
-                    inside.append(held[-1])
-                if len(held) % 64 == 0 and sum(map(len, held)) > COUNTED:
-                    yield taken()
-        if held:
-            yield taken()
-
-    found = docs.select("text", "in_target").mapInArrow(run, "pair int, n long, n_target long")
-    return found.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-
-
-def pair_losses(pairs: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
-    """-log p(second | first) under counts ``n`` of ``pairs``, as one array over all pairs."""
-    first, second = np.divmod(pairs, size)
-    after, of = np.bincount(first, n, size), np.bincount(second, n, size) + 1.0
-    of[START] = 1e-9  # never follows
-    share = of / of.sum()
-    out = np.subtract.outer(np.log(after + PRIOR).astype(np.float32), np.log(PRIOR * share).astype(np.float32)).ravel()
-    out[pairs] = np.log(after[first] + PRIOR) - np.log(n + PRIOR * share[second])
-    return out
-
-
-_LOSSES: dict[object, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def scored(run: Run, docs: DataFrame, target: DataFrame, size: int = VOCABULARY) -> DataFrame:
+        for hashes, texts, _, marks in _chunks(batches, known):
+            n, m = (np.bincount(np.concatenate([x for x, t in zip(texts, marks) if t or every] or [np.zeros(0, np.int32)]), minlength=len(hashes)) for every in (True, False))
+            yield pa.RecordBatch.from_arrays([pa.array(x[2:]) for x in (hashes.view(np.int64), n, m)], ["word", "n", "n_target"])
+
+    found = marked.mapInArrow(run, "word long, n long, n_target long")
+    return found.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+
+
+def _mixed(a: np.ndarray) -> np.ndarray:
+    a = (a ^ (a >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return a ^ (a >> np.uint64(29))
+
+
+def _packed(hashes: np.ndarray, texts: list[np.ndarray], marks: list, frequent: np.ndarray, buckets: int) -> Iterator[tuple]:
+    """bucket, kind, a, b, n, m of a chunk: its pairs with their counts, and the texts that have them."""
+    lengths = np.array([len(x) for x in texts])
+    second = np.concatenate(texts).astype(np.int64)
+    if not len(second):
+        return
+    first = np.empty_like(second)
+    first[1:] = second[:-1]
+    first[(np.cumsum(lengths) - lengths)[lengths > 0]] = 0
+    of = np.repeat(np.arange(len(texts)), lengths)
+    # Each word stands once as the first word of any pair, and once in its own pair.
+    size, many = len(hashes), len(texts)
+    keys = np.concatenate((second * size + first, first * size + 1)) * many + np.concatenate((of, of))
+    del first, second, of
+    keys.sort()
+    at = np.nonzero(np.concatenate(([True], keys[1:] != keys[:-1])))[0]
+    n = np.diff(np.append(at, len(keys)))
+    keys, doc = np.divmod(keys[at], many)
+    starts = np.nonzero(np.concatenate(([True], keys[1:] != keys[:-1])))[0]
+    b, a = np.divmod(keys[starts], size)
+    hot = np.isin(hashes, frequent)[b]
+    a, b = hashes[a], hashes[b]
+    bucket = (_mixed(np.where(hot, b ^ _mixed(a), b)) % np.uint64(buckets)).astype(np.int64)
+    total, inside = np.add.reduceat(n, starts), np.add.reduceat(n * np.array(marks)[doc], starts)
+    held_by = np.diff(np.append(starts, len(keys)))
+    order = np.argsort(np.repeat(bucket, held_by), kind="stable")
+    doc, n = doc[order].astype("<u2"), n[order]
+    n = n.astype("<u2" if n.max() < 1 << 16 else "<u4")
+    order = np.argsort(bucket, kind="stable")
+    a, b, total, inside, held_by = a[order], b[order], total[order].astype("<u4"), inside[order].astype("<u4"), held_by[order].astype("<u4")
+    pairs = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=buckets)))).tolist()
+    entries = np.concatenate(([0], np.cumsum(np.bincount(bucket[order], held_by, buckets)))).astype(np.int64).tolist()
+    for k in range(buckets):
+        if pairs[k] < pairs[k + 1]:
+            p, e = slice(pairs[k], pairs[k + 1]), slice(entries[k], entries[k + 1])
+            yield k, _COUNTS, a[p], b[p], total[p], inside[p]
+            yield k, _TEXTS, held_by[p], doc[e], n[e], n[:0]
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [x.split()[0] for x in _PACKED.split(", ")])
+
+
+def _losses(held: list[tuple[np.ndarray, ...]], frequent: dict[int, tuple[int, int]], sums: tuple[float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """What each pair of ``held`` (a, b, n, n_target) adds to a text's loss under the target and under all."""
+    a, b, n, m = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((a, b))
+    a, b = a[order], b[order]
+    new_b = np.concatenate(([True], b[1:] != b[:-1]))
+    new = new_b | np.concatenate(([True], a[1:] != a[:-1]))
+    pair, starts = np.cumsum(new) - 1, np.nonzero(new)[0]
+    word, first = (np.cumsum(new_b) - 1)[starts], a[starts] == FIRST
+    words = b[new_b].tolist()
+    known = [(i, frequent[w]) for i, w in enumerate(words) if w in frequent]
+    out = []
+    for side, (counts, total) in enumerate(zip((m, n), sums)):
+        counts = np.add.reduceat(counts[order].astype(np.float64), starts)
+        of = np.bincount(word, np.where(first, 0, counts), len(words))
+        for i, both in known:
+            of[i] = both[side]
+        loss = np.where(first, np.log(counts + PRIOR), -np.log(counts + PRIOR * ((of + 1) / total)[word]))
+        back = np.empty(len(a))
+        back[order] = loss[pair]
+        out.append(back)
+    return out[0], out[1]
+
+
+def scored(run: Run, docs: DataFrame, target: DataFrame, size: int | None = None) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score, one row per row of ``docs``.
 
     ``target`` names the documents of the target by doc_id, repeats and NULL being passed over; the
     background is all of ``docs``. Losses are means per word in nats; score is target_loss minus
-    background_loss, lower being closer to the target.
+    background_loss, lower being closer to the target. Every word is known; ``size`` keeps only so
+    many, with the unknown word and the start of a text.
 
     * Texts without words (NULL, empty, white) have no tokens and NULL losses and score.
     * An empty target has a uniform model, an empty table gives no rows.
     * Repeated rows count as often as they stand and give repeated rows; other columns are not read.
     """
-    words = vocabulary(docs, size)
-    names = target.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    # Sorted and merged at any size: texts meet their labels in one shuffle, and are counted there.
-    marked = plain_rows(docs).join(names.withColumn("in_target", F.lit(True)).hint("merge"), "doc_id", "left")
-    counts = run.written(pair_counts(marked, words, size), "pairs").toArrow()
-    pairs, n, n_target = (counts.column(c).to_numpy().astype(t) for c, t in (("pair", np.int32), ("n", np.float32), ("n_target", np.float32)))
-    shared = docs.sparkSession.sparkContext.broadcast(({w: i for i, w in enumerate(words, 2)}, pairs, n_target, n))
-    key = run.folder
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, pairs, near, far = shared.value
-        if key not in _LOSSES:  # once per worker
-            _LOSSES.clear()
-            _LOSSES[key] = pair_losses(pairs, near, size), pair_losses(pairs, far, size)
-        near_losses, far_losses = _LOSSES[key]
-        for ids, texts in text_batches(batches):
+    known = None if size is None else set(vocabulary(docs, size))
+    names = run.written(target.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct(), "names")
+    way = "broadcast" if names.count() <= BROADCAST_IDS else "merge"
+    marked = plain_rows(docs).join(names.withColumn("in_target", F.lit(True)).hint(way), "doc_id", "left")
+    words = run.written(word_counts(marked, known), "words")
+    n_words, total, inside = (int(x or 0) for x in words.where(f"word != {UNKNOWN}").agg(F.count("*")).first() + words.agg(F.sum("n"), F.sum("n_target")).first())
+    buckets = max(1, int(run.spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * COUNTED)))
+    # Words so frequent that the pairs of one would fill much of a task; there are at most 8 * buckets.
+    often = {r.word % (1 << 64): (r.n_target, r.n) for r in words.where(F.col("n") * 8 * buckets > total).collect()}
+    mass = (size or n_words + 2) - 1 + 1e-9  # one for each word and the unknown one; the start never follows
+    sums = inside + mass, total + mass
+    frequent = np.array(list(often), np.uint64)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        for hashes, texts, ids, marks in _chunks(batches, known):
             rows = []
-            for text in texts:
-                pairs = token_pairs(text, numbers, size)
-                a, b = (float(x[pairs].mean(dtype=np.float64)) if len(pairs) else None for x in (near_losses, far_losses))
-                rows.append((len(pairs), a, b, a - b if len(pairs) else None))
-            columns = list(zip(*rows)) if rows else [()] * 4
-            yield pa.RecordBatch.from_arrays([ids, pa.array(columns[0], pa.int64()), *(pa.array(c, pa.float64()) for c in columns[1:])], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return plain_rows(docs).mapInArrow(score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+            for k, kind, *arrays in _packed(hashes, texts, marks, frequent, buckets):
+                rows.append((k, kind, chunk, *(x.tobytes() for x in arrays)))
+                if len(rows) == 64:
+                    yield _rows(rows)
+                    rows.clear()
+            given = np.array([i is not None for i in ids])
+            numbers, lengths = np.array([i or 0 for i in ids], "<i8"), np.array([len(x) for x in texts], "<i8")
+            yield _rows([*rows, (chunk % buckets, _IDS, chunk, numbers.tobytes(), given.tobytes(), lengths.tobytes(), b"")])
+            chunk += 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows by bucket and kind: all counts of a bucket come before its texts."""
+        at, held, chunks, near, far = None, [], {}, None, None
+        for batch in batches:
+            for k, kind, chunk, *blobs in zip(*(batch.column(i) for i in range(7))):
+                k, kind, chunk = k.as_py(), kind.as_py(), chunk.as_py()
+                if k != at:
+                    at, held, chunks, near, far = k, [], {}, None, None
+                a, b, n, m = (x.as_py() for x in blobs)
+                if kind == _COUNTS:
+                    begin = sum(chunks[next(reversed(chunks))]) if chunks else 0
+                    held.append((np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), np.frombuffer(n, "<u4"), np.frombuffer(m, "<u4")))
+                    chunks[chunk] = begin, len(held[-1][0])
+                elif kind == _TEXTS:
+                    if near is None:
+                        near, far = _losses(held, often, sums)
+                        held.clear()
+                    begin, length = chunks[chunk]
+                    held_by, doc = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u2")
+                    times = np.frombuffer(n, f"<u{len(n) // len(doc)}")
+                    pair = np.repeat(np.arange(begin, begin + length), held_by)
+                    some, doc = np.unique(doc, return_inverse=True)
+                    yield _rows([(k, kind, chunk, some.tobytes(), np.bincount(doc, near[pair] * times).tobytes(), np.bincount(doc, far[pair] * times).tobytes(), b"")])
+                else:
+                    yield _rows([(k, kind, chunk, a, b, n, m)])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows by chunk, the one with its ids last."""
+        at, near, far = None, None, None
+        for batch in batches:
+            for kind, chunk, *blobs in zip(*(batch.column(i) for i in range(1, 7))):
+                kind, chunk = kind.as_py(), chunk.as_py()
+                if chunk != at:
+                    at, near, far = chunk, np.zeros(TEXTS), np.zeros(TEXTS)
+                a, b, n, _ = (x.as_py() for x in blobs)
+                if kind == _TEXTS:
+                    doc = np.frombuffer(a, "<u2")
+                    near[doc] += np.frombuffer(b, "<f8")
+                    far[doc] += np.frombuffer(n, "<f8")
+                    continue
+                ids, given, lengths = np.frombuffer(a, "<i8"), np.frombuffer(b, bool), np.frombuffer(n, "<i8")
+                none = lengths == 0
+                one, two = (x[: len(ids)] / np.maximum(lengths, 1) for x in (near, far))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, mask=~given), pa.array(lengths), *(pa.array(x, mask=none) for x in (one, two, one - two))], [x.split()[0] for x in _SCORES.split(", ")])
+
+    dealt = marked.mapInArrow(pack, _PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind", "chunk")
+    found = dealt.mapInArrow(count, _PACKED).repartition("chunk").sortWithinPartitions("chunk", "kind", "bucket")
+    return found.mapInArrow(add, _SCORES)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,3 +160,20 @@ def test_passages_of_copies_and_pieces(spark):
     assert set(got) == {3, 5}
     assert (got[3].start, got[3].n_words, got[3].first_ids) == (0, 80, [1, 2]) and got[5].n_words == 200
     assert found(spark, []) == []
+
+
+def fresh(rng, n):
+    return [f"u{rng.randrange(10**9)}" for _ in range(n)]
+
+
+def test_passages_of_sentences_seen_alone(spark):
+    """Each sentence stands alone in an earlier document; only seeds across their borders lead to the passage."""
+    rng, rows, expected = random.Random(9), [], {}
+    for i in range(0, 600, 10):
+        sentences = [fresh(rng, rng.randrange(17, 20)) for _ in range(3)]
+        rows += [(i + n, " ".join(fresh(rng, 20) + x + fresh(rng, 20))) for n, x in enumerate(sentences)]
+        passage = sum(sentences, [])
+        rows += [(i + n, " ".join(fresh(rng, 30) + passage + fresh(rng, 30))) for n in (5, 6)]
+        expected[i + 6] = (30, len(passage), [i + 5]) if len(passage) >= 50 else None
+    got = {r.doc_id: (r.start, r.n_words, r.first_ids) for r in found(spark, rows)}
+    assert got == {i: x for i, x in expected.items() if x}

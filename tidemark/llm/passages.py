@@ -22,7 +22,9 @@ from tidemark.llm.stage import Run
 
 K = 5
 #: K-mers of which one is a seed at least. A shared run of K + WINDOW - 1 words always shares a seed.
-WINDOW = 10
+#: At K - 1 one of the k-mers across any border of two words is a seed, so where the parts of a passage
+#: were first seen alone, a seed across their border still leads to the first document with both.
+WINDOW = K - 1
 #: Words of a passage at least, and how much of it must agree.
 MIN_WORDS = 50
 SIMILARITY = 0.8
@@ -31,8 +33,8 @@ GAP_COST = 0.05
 #: Words of an aligned stretch at least. Stretches of a passage whose seeds were first seen in
 #: different documents are joined afterwards.
 MIN_PIECE = 20
-#: Seeds of a chain at least, for it to be aligned.
-MIN_SEEDS = 2
+#: Seeds of a chain at least, for it to be aligned. One is enough: it may be all that is left of a passage.
+MIN_SEEDS = 1
 #: Pieces no further apart than this are one passage.
 JOIN_GAP = 8
 #: Words beyond the outer seeds that an alignment may reach, and words of a tile in which words travel.

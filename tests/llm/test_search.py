@@ -177,3 +177,15 @@ def test_passages_of_sentences_seen_alone(spark):
         expected[i + 6] = (30, len(passage), [i + 5]) if len(passage) >= 50 else None
     got = {r.doc_id: (r.start, r.n_words, r.first_ids) for r in found(spark, rows)}
     assert got == {i: x for i, x in expected.items() if x}
+
+
+def test_edited_passages_give_seeds():
+    rng, hits, trials = random.Random(10), 0, 400
+    for _ in range(trials):
+        text = fresh(rng, 60)
+        copy = list(text)
+        for i in rng.sample(range(60), 11):  # similarity 0.82
+            copy[i] = fresh(rng, 1)[0]
+        a, b = (set(passages.seeds(passages.word_hashes([w.encode() for w in fresh(rng, 20) + x + fresh(rng, 20)]))[0].tolist()) for x in (text, copy))
+        hits += len(a & b) >= passages.MIN_SEEDS
+    assert hits / trials >= 0.95

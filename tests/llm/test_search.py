@@ -189,3 +189,13 @@ def test_edited_passages_give_seeds():
         a, b = (set(passages.seeds(passages.word_hashes([w.encode() for w in fresh(rng, 20) + x + fresh(rng, 20)]))[0].tolist()) for x in (text, copy))
         hits += len(a & b) >= passages.MIN_SEEDS
     assert hits / trials >= 0.95
+
+
+def test_unique_words_between_passages_are_kept(spark):
+    rng = random.Random(11)
+    a, b, mine = fresh(rng, 21), fresh(rng, 21), fresh(rng, 8)
+    rows = [(1, " ".join(fresh(rng, 30) + a)), (2, " ".join(fresh(rng, 30) + b)), (3, " ".join(a + mine + b))]
+    assert found(spark, rows) == []
+    piece = lambda start, first_start, first_id=1: {"start": start, "n_words": 30, "first_id": first_id, "first_start": first_start, "first_words": 30, "matched": 30}
+    assert passages._joined([piece(0, 0), piece(35, 33)]) == [(0, 65, [1], 60 / 65)]
+    assert len(passages._joined([piece(0, 50), piece(35, 0)])) == len(passages._joined([piece(0, 0), piece(35, 33, 2)])) == 2

@@ -35,7 +35,7 @@ GAP_COST = 0.05
 MIN_PIECE = 20
 #: Seeds of a chain at least, for it to be aligned. One is enough: it may be all that is left of a passage.
 MIN_SEEDS = 1
-#: Pieces no further apart than this are one passage.
+#: Pieces that match one document in order, no further apart than this on either side, are one passage.
 JOIN_GAP = 8
 #: Words beyond the outer seeds that an alignment may reach, and words of a tile in which words travel.
 REACH = 48
@@ -343,8 +343,8 @@ def passages(run: Run, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     """doc_id, start, n_words, first_ids, similarity: passages that documents of smaller id have as well.
 
     ``start`` and ``n_words`` count words between ASCII white space; ``first_ids`` are the documents
-    compared with, and similarity the share of words that agree with them, 0.8 or more. Pieces next to
-    each other are one passage, also where they were first seen in different documents.
+    compared with, and similarity the share of words that agree with them, 0.8 or more. Pieces that
+    touch are one passage, also where they were first seen in different documents.
 
     * NULL, empty and short texts have no passage; rows without doc_id take no part. Any length.
     * Of documents that share a passage all but the one of smallest id have a row for it. Repeats
@@ -364,23 +364,35 @@ def passages(run: Run, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "start", "n_words", "first_ids", "similarity"])
 
-    parts = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words", "first_id", "matched")).alias("parts"))
+    parts = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words", "first_id", "first_start", "first_words", "matched")).alias("parts"))
     return parts.mapInArrow(joined, "doc_id long, start int, n_words int, first_ids array<long>, similarity double")
 
 
 def _joined(parts: list[dict]) -> list[tuple[int, int, list[int], float]]:
-    """A document's pieces, those that touch or nearly do taken together."""
+    """A document's pieces, taken together where they follow each other.
+
+    Pieces of one document of smaller id may have a gap on either side, which counts against the
+    similarity. Those of different documents must touch: words that none of them has are not passed over.
+    """
+    stretches: list[list[int]] = []  # first_id, start, stop, first start, first stop, words that agree
+    for p in sorted(parts, key=lambda p: (p["first_id"], p["start"], -p["n_words"], p["first_start"])):
+        q = [p["first_id"], p["start"], p["start"] + p["n_words"], p["first_start"], p["first_start"] + p["first_words"], p["matched"]]
+        last = stretches[-1] if stretches else None
+        if last and last[0] == q[0] and 0 <= q[1] - last[2] <= JOIN_GAP and 0 <= q[3] - last[4] <= JOIN_GAP:
+            if last[5] + q[5] >= SIMILARITY * max(q[2] - last[1], q[4] - last[3]):
+                last[2], last[4], last[5] = q[2], q[4], last[5] + q[5]
+                continue
+        stretches.append(q)
     out: list[list] = []
-    for p in sorted(parts, key=lambda p: (p["start"], -p["n_words"], p["first_id"])):
-        stop = p["start"] + p["n_words"]
-        share = p["matched"] / p["n_words"]
-        if out and p["start"] - out[-1][1] <= JOIN_GAP:
+    for first_id, start, stop, first_start, first_stop, same in sorted(stretches, key=lambda q: (q[1], -q[2], q[0])):
+        length = max(stop - start, first_stop - first_start)
+        if out and start <= out[-1][1]:
             out[-1][1] = max(out[-1][1], stop)
-            out[-1][2].add(p["first_id"])
-            out[-1][3].append((p["n_words"], share))
+            out[-1][2].add(first_id)
+            out[-1][3].append((length, same))
         else:
-            out.append([p["start"], stop, {p["first_id"]}, [(p["n_words"], share)]])
-    return [(s, e, sorted(ids), min(1.0, sum(n * x for n, x in shares) / sum(n for n, _ in shares))) for s, e, ids, shares in out]
+            out.append([start, stop, {first_id}, [(length, same)]])
+    return [(s, e, sorted(ids), min(1.0, sum(x for _, x in shares) / sum(n for n, _ in shares))) for s, e, ids, shares in out]
 
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bit_packing, byte_bpe, exact_dedup, hnsw, html_text, language_id, lm_score, packing, passages, simhash_dedup
+from tidemark.llm import bit_packing, byte_bpe, exact_dedup, filter_audit, hnsw, html_text, language_id, lm_score, multi_index, packing, passages, ranked_search, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": html_text.op1,
@@ -19,6 +19,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language_id.op8,
     "op9_lm_score": lm_score.op9,
     "op10_bit_packing": bit_packing.op10,
+    "op11_filter_audit": filter_audit.op11,
+    "op12_ranked_search": ranked_search.op12,
+    "op13_multi_index": multi_index.op13,
 }
 
-ORACLE: dict[str, str] = {"op6_exact_dedup": exact_dedup.OP6_SQL}
+ORACLE: dict[str, str] = {
+    "op6_exact_dedup": exact_dedup.OP6_SQL,
+    "op11_filter_audit": filter_audit.OP11_SQL,
+    "op12_ranked_search": ranked_search.OP12_SQL,
+    "op13_multi_index": multi_index.OP13_SQL,
+}

@@ -188,7 +188,8 @@ WITH tgt AS ({_target(spec)}),
 """
 
 
-def _merge(spec: TableSpec) -> str:
+def _merge(spec: TableSpec, since: bool = True) -> str:
+    """The table after its load; without ``since`` old source rows change it too, but add nothing."""
     key = _name(spec.key)
     taken = f"t.{key} IS NULL OR (s.{key} IS NOT NULL AND {_changed(spec)})"
     listed = ", ".join(
@@ -196,7 +197,25 @@ def _merge(spec: TableSpec) -> str:
         f"THEN s.{_name(c)} ELSE t.{_name(c)} END AS {_name(c)}"
         for c in spec.names
     )
-    return f"{_run(spec)} SELECT {listed} FROM tgt AS t FULL JOIN inc AS s ON t.{key} = s.{key}"
+    taking = "inc" if since else f"(SELECT * FROM inc UNION ALL SELECT src.* FROM src JOIN mark ON src.{_name(spec.event)} < w WHERE src.{key} IN (SELECT {key} FROM tgt))"
+    return f"{_run(spec)} SELECT {listed} FROM tgt AS t FULL JOIN {taking} AS s ON t.{key} = s.{key}"
+
+
+def _copies(spec: TableSpec) -> str:
+    """How often the copies of lines would change each target row."""
+    key = spec.key
+    listed = ", ".join(f"CAST({c.name} AS {_type(c)}) AS {c.name}" for c in spec.columns)
+    return f"""
+WITH tgt AS ({_target(spec)}),
+     raw AS ({standins.duckdb_sql(standins.source_sql(spec, standins.LINE_COPIES))}),
+     copies AS (SELECT {listed} FROM raw),
+     numbered AS (SELECT ROW_NUMBER() OVER () AS row_id, tgt.* FROM tgt),
+     per_row AS (
+       SELECT t.row_id, t.{key}, COUNT(*) AS n
+       FROM numbered AS t JOIN copies AS s ON t.{key} = s.{key}
+       WHERE {_changed(spec)} AND s.{key} IN (SELECT {key} FROM copies GROUP BY 1 HAVING COUNT(*) > 1)
+       GROUP BY t.row_id, t.{key})
+"""
 
 
 DIMENSIONS = {
@@ -233,11 +252,28 @@ SELECT CAST(1 AS INT) AS run,
         WHERE {_changed(DEV["Hr"])}) AS rows_updated
 UNION ALL SELECT 2, 0, 0
 """,
+    "load_copies": f"""
+WITH merged AS ({_merge(DEV["Hr"])}), before AS ({_target(DEV["Hr"])})
+SELECT * FROM merged
+UNION ALL
+SELECT * FROM merged WHERE HR_ID % 5 = 0 AND HR_ID NOT IN (SELECT HR_ID FROM before)
+""",
+    "load_refused": f"""{_copies(PURCHASES)}
+SELECT (SELECT COUNT(DISTINCT Purchase_ID) FROM per_row WHERE n > 1) AS n_keys, COUNT(*) AS n_rows,
+       SUM(Total_Amount) AS total_amount
+FROM tgt
+""",
+    "load_corrections": _merge(SALES, since=False),
     "watermark": f"{_run(SALES)} SELECT w AS watermark FROM mark",
     "increment": f"{_run(SALES)} SELECT * FROM inc",
     "late_rows": f"""{_run(SALES)}
 SELECT Sales_ID, Transaction_DateTime, Total_Amount FROM src JOIN mark ON Transaction_DateTime < w
 WHERE Sales_ID NOT IN (SELECT Sales_ID FROM tgt)
+""",
+    "late_corrections": f"""{_run(SALES)}
+SELECT {", ".join(f"s.{c}" for c in q.LATE_COLUMNS)}, {", ".join(f"t.{c} AS old_{c}" for c in COMPARED)}
+FROM src AS s JOIN tgt AS t ON s.Sales_ID = t.Sales_ID, mark
+WHERE s.Transaction_DateTime < w AND {_changed(SALES)}
 """,
     "upsert_new_rows": f"""{_run(SALES)}
 SELECT * FROM inc WHERE Sales_ID NOT IN (SELECT Sales_ID FROM tgt)
@@ -254,18 +290,7 @@ UNION ALL
 SELECT 'rows_updated', COUNT(*) FROM tgt AS t JOIN inc AS s ON t.Sales_ID = s.Sales_ID
 WHERE {_changed(SALES)}
 """,
-    "upsert_duplicate_guard": f"""
-WITH tgt AS ({_target(PURCHASES)}),
-     copies AS (
-       SELECT {", ".join(f"CAST({c.name} AS {_type(c)}) AS {c.name}" for c in PURCHASES.columns)}
-       FROM ({standins.duckdb_sql(standins.source_sql(PURCHASES, standins.LINE_COPIES))}) AS raw),
-     numbered AS (SELECT ROW_NUMBER() OVER () AS row_id, tgt.* FROM tgt),
-     per_row AS (
-       SELECT t.row_id, t.Purchase_ID, COUNT(*) AS n
-       FROM numbered AS t JOIN copies AS s ON t.Purchase_ID = s.Purchase_ID
-       WHERE {_changed(PURCHASES)}
-         AND s.Purchase_ID IN (SELECT Purchase_ID FROM copies GROUP BY 1 HAVING COUNT(*) > 1)
-       GROUP BY t.row_id, t.Purchase_ID)
+    "upsert_duplicate_guard": f"""{_copies(PURCHASES)}
 SELECT Purchase_ID, MAX(n) AS n_changes FROM per_row GROUP BY Purchase_ID HAVING MAX(n) > 1
 """,
     "conform_schema": _source(SALES),
@@ -331,7 +356,15 @@ HEADER = " || chr(10) || ".join(
 )
 FOOTER = f"{_text(errors.CLOSING)} || chr(10) || {_text(errors.DOUBLE_RULE)} || chr(10)"
 
+def _logged(table: str, failing: bool = False) -> str:
+    name = f"check_outcomes_data' AS SchemaName, 'pr_check_outcomes_{DEV[table].source}"
+    count, status, cause = ("0 * COUNT(*)", "Error", "'Customer_ID: NULL in a NOT NULL column'") if failing else ("COUNT(*)", "Success", "NULL")
+    return f"""SELECT '{name}' AS ProcedureName, CAST({count} AS BIGINT) AS RowsInserted, CAST(0 AS BIGINT) AS RowsUpdated,
+       '{status}' AS Status, CAST({cause} AS VARCHAR) AS cause, TRUE AS in_order FROM ({_dimension(DEV[table])}) AS d"""
+
+
 RUN_LOG = {
+    "log_outcomes": " UNION ALL ".join([_logged("Customers", failing=True), _logged("Suppliers"), _logged("Accounts")]),
     "log_append": f"""
 WITH logs AS ({LOGS}),
      run AS (
@@ -345,8 +378,8 @@ WITH logs AS ({LOGS}),
        FROM logs GROUP BY SchemaName, ProcedureName)
 SELECT * FROM logs
 UNION ALL
-SELECT (SELECT MAX(LogID) FROM logs)
-         + ROW_NUMBER() OVER (ORDER BY StartTime, SchemaName, ProcedureName) AS LogID, run.*
+SELECT (DATE_DIFF('second', TIMESTAMP '{runlog.ID_EPOCH}', StartTime) << 32) - 1
+         + ROW_NUMBER() OVER (PARTITION BY StartTime ORDER BY SchemaName, ProcedureName) AS LogID, run.*
 FROM run
 """,
     "log_retention": f"""
@@ -408,6 +441,10 @@ ORDER_TYPES = {
     "o_orderpriority": "string",
 }
 
+def clean_name(sheet: str) -> str:
+    return sheet.replace(" ", "_").replace("-", "_").lower()
+
+
 SOURCES = {
     "table_profile": " UNION ALL ".join(_profile(t) for t in standins.BASE_TABLES),
     "normalize_headers": f"SELECT {CLEANED} FROM customer",
@@ -441,6 +478,18 @@ SELECT '{q.SHEET} keys', 1, '{q.RAW_HEADERS[0]}', COUNT(*),
        '{q.SHEET.replace(" ", "_").replace("-", "_")}_keys'
 FROM customer
 """,
+    "ingest_outcomes": f"""
+SELECT 'check_ingest_raw.{clean_name(q.SHEET)}' AS name, COUNT(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, 'Success' AS status FROM customer
+UNION ALL SELECT 'check_ingest_raw.{clean_name(q.SHEET)}_keys', COUNT(*), 0, 'Success' FROM customer
+UNION ALL SELECT 'check_ingest_raw.notes', 0, 0, 'Error' FROM customer HAVING COUNT(*) > 0
+UNION ALL SELECT 'Broken sheet', 0, 0, 'Error' FROM customer HAVING COUNT(*) > 0
+""",
+    "create_only": "SELECT s_suppkey, s_name, TRUE AS refused FROM supplier",
+    "row_limits": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{kind}' AS kind, LEAST(COUNT(*), {n}) AS n_rows, CAST(0 AS BIGINT) AS n_strange FROM {table}"
+        for table in ("region", "supplier", "orders", "labels")
+        for kind, n in (("preview", 3), ("sample", 5))
+    ),
     "sales_by_date_top10": f"""
 SELECT Date_ID, COUNT(*) AS Transaction_Count, SUM(Total_Amount) AS Total_Sales,
        SUM(Profit_Amount) AS Total_Profit

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
 from functools import partial, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import standins
@@ -104,14 +106,13 @@ TIME_SERIES: dict[str, Query] = {
 
 
 def dimension(spark: SparkSession, sf: str, spec: TableSpec) -> DataFrame:
-    """A full refresh: dev and test from raw, prod from test."""
+    """Rows of a dimension: dev and test from raw, prod from test."""
     if spec.tier == "prod":
         rows = dimension(spark, sf, SPECS["test"][spec.table])
     elif (spec.tier, spec.table) == ("test", "Products"):
-        sales = standins.source(spark, sf, SPECS["test"]["Sales"])
         rows = with_first_event(
             dimension(spark, sf, DEV["Products"]),
-            sales,
+            _sold(spark, sf),
             "Product_ID",
             "Transaction_DateTime",
             "Launch_Date",
@@ -121,6 +122,24 @@ def dimension(spark: SparkSession, sf: str, spec: TableSpec) -> DataFrame:
     return refreshed(rows, spec)
 
 
+def _sold(spark: SparkSession, sf: str) -> DataFrame:
+    return standins.source(spark, sf, SPECS["test"]["Sales"])
+
+
+def refreshed_table(spark: SparkSession, sf: str, spec: TableSpec) -> DataFrame:
+    """A dimension's table after its load, in a database of its own."""
+    own = replace(spec, tier=f"check_{spec.tier}_{spec.table.lower()}")
+    _own_database(spark, own.schema_name)
+    if spec.tier == "prod":
+        source = dimension(spark, sf, SPECS["test"][spec.table])
+    elif (spec.tier, spec.table) == ("test", "Products"):
+        source = dimension(spark, sf, DEV["Products"])
+    else:
+        source = standins.frame(spark, sf, standins.source_sql(spec))
+    loads.load_dimension(spark, own, source=source, sales=_sold(spark, sf))
+    return tables.table_rows(spark, own)
+
+
 def launch_date(spark: SparkSession, sf: str) -> DataFrame:
     """Parts with the first day on which one was sold, over all sales but those of one brand.
 
@@ -157,13 +176,13 @@ def _snake(table: str) -> str:
 
 DIMENSIONS: dict[str, Query] = {
     (f"full_refresh_{_snake(name)}" if tier == "dev" else f"refresh_{tier}_{_snake(name)}"): partial(
-        dimension, spec=spec
+        refreshed_table, spec=spec
     )
     for tier in TIERS
     for name, spec in SPECS[tier].items()
     if not spec.is_fact and (tier, name) != ("prod", "Products")
 } | {
-    "promote_products": partial(dimension, spec=SPECS["prod"]["Products"]),
+    "promote_products": partial(refreshed_table, spec=SPECS["prod"]["Products"]),
     "product_launch_date": launch_date,
     "full_refresh_counts": refresh_counts,
 }
@@ -181,9 +200,9 @@ def fact(spark: SparkSession, sf: str, spec: TableSpec) -> tuple[DataFrame, Data
     return target, tables.staged(rows, spec.table)
 
 
-def _own_table(spark: SparkSession, sf: str, spec: TableSpec) -> TableSpec:
+def _own_table(spark: SparkSession, sf: str, spec: TableSpec, purpose: str = "") -> TableSpec:
     """The spec of a table filled with the stand-in target, in a database of its own."""
-    own = replace(spec, tier=f"check_{spec.tier}_{spec.table.lower()}")
+    own = replace(spec, tier=f"check_{spec.tier}_{spec.table.lower()}{purpose}")
     _own_database(spark, own.schema_name)
     tables.create_if_missing(spark, own)
     tables.append_months(tables.by_month(standins.target(spark, sf, spec), own), own)
@@ -207,6 +226,39 @@ def load_twice(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(found, "run int, rows_inserted bigint, rows_updated bigint")
 
 
+def loaded_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """A fact table after the load of a source that holds some new rows twice: they come in twice."""
+    own = _own_table(spark, sf, DEV["Hr"], "_copies")
+    source = standins.source(spark, sf, DEV["Hr"])
+    loads.load_fact(spark, own, as_of=AS_OF, source=source.union(source.where("HR_ID % 5 = 0")))
+    return tables.table_rows(spark, own)
+
+
+def refused_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A load of old rows too that would change some more than once: what it says, and that nothing changed."""
+    spec = DEV["Purchases"]
+    own = _own_table(spark, sf, spec, "_copies")
+    copies = standins.frame(spark, sf, standins.source_sql(spec, standins.LINE_COPIES))
+    try:
+        loads.load_fact(spark, own, as_of=AS_OF, source=copies, lookback_days=100 * 366)
+        refused = None
+    except loads.AmbiguousUpsert as error:
+        refused = int(re.search(r"(\d+) keys", str(error))[1])
+    held = tables.table_rows(spark, own)
+    return held.agg(
+        F.lit(refused).cast("bigint").alias("n_keys"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("Total_Amount").alias("total_amount"),
+    )
+
+
+def corrected(spark: SparkSession, sf: str) -> DataFrame:
+    """A fact table after a load that takes corrections of any age."""
+    own = _own_table(spark, sf, SALES, "_corrected")
+    loads.load_fact(spark, own, as_of=AS_OF, source=standins.source(spark, sf, SALES), corrections=True)
+    return tables.table_rows(spark, own)
+
+
 SALES = DEV["Sales"]
 # The count of changed rows leaves the event out, unlike the merge; kept as a report.
 NOT_COUNTED = ("Transaction_DateTime",)
@@ -244,6 +296,18 @@ def late(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+LATE_COLUMNS = (SALES.key, *SALES.compare, *SALES.compare_null_safe)
+
+
+def late_corrections(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales older than the watermark that differ from what the target has, with both values."""
+    target = standins.target(spark, sf, SALES)
+    since = upsert.watermark_literal(target, SALES.event)
+    ranges = partial(tables.staged, name="ranges")
+    found = upsert.late_corrections(conform_schema(spark, sf), target, SALES, since, ranges)
+    return found.select(*LATE_COLUMNS, *[c for c in found.columns if c.startswith("old_")])
+
+
 def duplicate_guard(spark: SparkSession, sf: str) -> DataFrame:
     """Keys of which the copies of a line would change one purchase more than once."""
     spec = DEV["Purchases"]
@@ -289,9 +353,13 @@ FACTS: dict[str, Query] = {
     if spec.is_fact
 } | {
     "load_twice": load_twice,
+    "load_copies": loaded_copies,
+    "load_refused": refused_load,
+    "load_corrections": corrected,
     "watermark": watermark,
     "increment": increment,
     "late_rows": late,
+    "late_corrections": late_corrections,
     "upsert_new_rows": new_rows,
     "upsert_changed_rows": changed_rows,
     "upsert_counts": counts,
@@ -367,7 +435,35 @@ def error_list_report(spark: SparkSession, sf: str) -> DataFrame:
     return errors.error_reports(lists, "error_list", moment(DIGEST_AS_OF), "list_id")
 
 
+def outcome_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The log of a run of three loads, of which the first fails; the others go on.
+
+    Keys of every tenth customer are missing in the raw table, which a dimension does not take.
+    """
+    raw, log = "check_outcomes_raw", "check_outcomes_log.Runs"
+    for name in (raw, "check_outcomes_log", "check_outcomes_data"):
+        _own_database(spark, name)
+    ran = [replace(DEV[t], tier="check_outcomes") for t in ("Customers", "Suppliers", "Accounts")]
+    for spec in ran:
+        rows = standins.frame(spark, sf, standins.source_sql(spec))
+        if spec.table == "Customers":
+            missing = F.col("Customer_ID").endswith("0")
+            rows = rows.withColumn("Customer_ID", F.when(~missing, F.col("Customer_ID")))
+        tables.overwrite(rows, f"{raw}.{spec.source}")
+    loads.run_loads(spark, ran, raw, log=log)
+    return loads.log_rows(spark, log).select(
+        "SchemaName",
+        "ProcedureName",
+        "RowsInserted",
+        "RowsUpdated",
+        "Status",
+        F.regexp_extract("ErrorMessage", "Customer_ID: NULL in a NOT NULL column", 0).alias("cause"),
+        (F.col("EndTime") >= F.col("StartTime")).alias("in_order"),
+    )
+
+
 RUN_LOG: dict[str, Query] = {
+    "log_outcomes": outcome_log,
     "log_append": log_append,
     "log_retention": log_retention,
     "log_error_digest": log_error_digest,
@@ -445,7 +541,55 @@ def ingest_manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def ingest_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """What an ingestion reports of workbooks with good, empty and broken sheets.
+
+    How many workbooks there are, and their names, depend on how the table is cut; that is left out.
+    """
+    raw = "check_ingest_raw"
+    _own_database(spark, raw)
+    files = table_workbooks(standins.base(spark, sf, "customer"), SHEET, RAW_HEADERS, faults=True)
+    found = loads.ingest_workbooks(spark, raw=raw, files=tables.staged(files, "files"))
+    rows = {
+        (re.sub(r"^\S*\.xlsx ", "", o.ProcedureName), o.RowsInserted, o.RowsUpdated, o.Status) for o in found
+    }
+    return spark.createDataFrame(sorted(rows), "name string, rows_inserted bigint, rows_updated bigint, status string")
+
+
+def create_only(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that is there already is not created again; its rows stay."""
+    _own_database(spark, "check_create")
+    name = "check_create.suppliers"
+    tables.create_only(standins.base(spark, sf, "supplier").select("s_suppkey", "s_name"), name)
+    try:
+        tables.create_only(standins.base(spark, sf, "customer"), name)
+        refused = False
+    except AnalysisException:
+        refused = True
+    return spark.table(name).withColumn("refused", F.lit(refused))
+
+
+def limits(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the preview and the sample of each table, and how many of them the table does not have."""
+    found = []
+    for table in ("region", "supplier", "orders", "labels"):
+        df = standins.base(spark, sf, table)
+        key = df.columns[0]
+        for kind, few in (("preview", tables.preview(df)), ("sample", samples.sample(df))):
+            known = df.select(F.col(key).alias("key")).distinct()
+            strange = few.join(known, few[key] == known["key"], "left_anti").agg(F.count(F.lit(1)).alias("n_strange"))
+            counts = few.agg(F.count(F.lit(1)).alias("n_rows"))
+            found.append(
+                counts.withColumn("n_strange", F.lit(strange.first()[0]))
+                .select(F.lit(table).alias("table_name"), F.lit(kind).alias("kind"), "n_rows", "n_strange")
+            )
+    return reduce(DataFrame.unionByName, found)
+
+
 SOURCES: dict[str, Query] = {
+    "ingest_outcomes": ingest_outcomes,
+    "create_only": create_only,
+    "row_limits": limits,
     "table_profile": table_profile,
     "normalize_headers": normalized_headers,
     "infer_types": infer_types,

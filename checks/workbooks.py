@@ -67,11 +67,25 @@ def workbook_bytes(sheets: dict[str, Sequence[Sequence]]) -> bytes:
     return out.getvalue()
 
 
-def table_workbooks(df: DataFrame, sheet: str, headers: list[str]) -> DataFrame:
+def broken(content: bytes, part: str) -> bytes:
+    """A workbook of which one sheet's XML ends in the middle."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(content)) as old, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as new:
+        for name in old.namelist():
+            data = old.read(name)
+            new.writestr(name, data[: len(data) // 2] if name == part else data)
+    return out.getvalue()
+
+
+EMPTY, BROKEN = "Notes", "Broken sheet"
+
+
+def table_workbooks(df: DataFrame, sheet: str, headers: list[str], faults: bool = False) -> DataFrame:
     """Path and bytes of workbooks that hold all of ``df``, one workbook per batch of rows.
 
-    The second sheet of each lists the first column alone. How many workbooks there are
-    depends on how Spark cuts the table, so results must not depend on their names.
+    The second sheet of each lists the first column alone. With ``faults`` there is a third without
+    any row and a fourth that is broken. How many workbooks there are depends on how Spark cuts the
+    table, so results must not depend on their names.
     """
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,7 +98,10 @@ def table_workbooks(df: DataFrame, sheet: str, headers: list[str]) -> DataFrame:
                     sheet: [headers, *rows],
                     f"{sheet} keys": [headers[:1], *[row[:1] for row in rows]],
                 }
+                | ({EMPTY: [], BROKEN: [headers, *rows]} if faults else {})
             )
+            if faults:
+                content = broken(content, "xl/worksheets/sheet4.xml")
             yield pd.DataFrame({"path": [f"book-{rows[0][0]}.xlsx"], "content": [content]})
 
     return df.mapInPandas(write, "path string, content binary")

@@ -1,5 +1,6 @@
 """Loads against catalog tables."""
 
+from dataclasses import astuple
 from datetime import date, datetime
 from pathlib import Path
 from types import SimpleNamespace
@@ -9,10 +10,11 @@ from pyspark.sql import functions as F
 
 from checks.workbooks import workbook_bytes
 from tests.conftest import when
+from tidemark.operators import runlog, upsert
 from tidemark.operators.upsert import MONTH
 from tidemark.plans import loads
 from tidemark.plans.specs import DEV, SPECS, TIERS
-from tidemark.sources import tables
+from tidemark.sources import commits, tables
 
 pytestmark = pytest.mark.usefixtures("clean_catalog")
 
@@ -102,6 +104,107 @@ def test_untouched_months_keep_their_files(spark):
     assert sales(spark)[0] == (1, "2024-01-05", 10.0, "paid")
 
 
+class Crash(BaseException):
+    """Ends a load as the death of its driver would: nothing handles it."""
+
+
+SHIFTED = [
+    sale(1, "2024-01-05", 99.0),
+    sale(2, "2024-03-10", 20.0),  # leaves February, which is empty then
+    sale(3, "2024-03-20"),
+    sale(4, "2024-03-21", 1.0),
+    sale(5, "2024-01-06", 1.0),
+    sale(6, "2024-04-01", 1.0),
+    sale(7, "2024-05-01", 1.0),
+]
+STEPS = ["2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01", "2024-05-01"]
+
+
+def load_shifted(spark):
+    put_raw(spark, "Sales", SHIFTED)
+    return loads.load_fact(spark, DEV["Sales"], as_of=AS_OF, lookback_days=100)
+
+
+@pytest.mark.parametrize("fails_at, after", [(-1, False), (0, False), (1, True), (3, False), (4, False), (4, True), (5, False)])
+def test_a_load_that_dies_between_two_switches_is_finished_by_the_next(spark, monkeypatch, fails_at, after):
+    """fails_at: the step of the intent at which the driver dies, before or after taking it; -1: with the
+    files written and no intent yet; 5: with all steps taken and the intent still there."""
+    load_sales(spark, [sale(1, "2024-01-05"), sale(2, "2024-02-10"), sale(3, "2024-03-20")])
+    taken, apply, rename, put = [], commits.apply, commits._rename, commits._put
+
+    def dying(spark, spec, step):
+        taken.append(step["month"])
+        if after:
+            apply(spark, spec, step)
+        if len(taken) == fails_at + 1:
+            raise Crash
+        if not after:
+            apply(spark, spec, step)
+
+    def dying_put(spark, path, text=""):
+        if fails_at == -1 and path.endswith(commits.INTENT):
+            raise Crash
+        put(spark, path, text)
+
+    def dying_rename(files, old, new):
+        if fails_at == 5 and str(new).endswith(commits.DONE):
+            raise Crash
+        rename(files, old, new)
+
+    monkeypatch.setattr(commits, "apply", dying)
+    monkeypatch.setattr(commits, "_put", dying_put)
+    monkeypatch.setattr(commits, "_rename", dying_rename)
+    with pytest.raises(Crash):
+        load_shifted(spark)
+    assert taken == STEPS[: fails_at + 1]
+    monkeypatch.undo()
+    again = load_shifted(spark)
+    assert again == ((4, 2) if fails_at == -1 else (0, 0))
+    assert [r[:3] for r in sales(spark)] == [(r["Sales_ID"], str(r["Transaction_DateTime"])[:10], r["Total_Amount"]) for r in SHIFTED]
+    assert [str(m) for m in tables.partition_values(spark, "dev_data.Sales")] == [m for m in STEPS if m != "2024-02-01"]
+    load_shifted(spark)
+    left = Path(tables.location(spark, DEV["Sales"]).removeprefix("file:")) / "_loads"
+    assert not [p.name for p in left.iterdir() if p.is_file() and not p.name.startswith(".")]
+    files = {f.removeprefix("file://").removeprefix("file:") for f in spark.table("dev_data.Sales").inputFiles()}
+    base = left.parent
+    assert {str(p) for p in base.rglob("*.parquet")} == files
+
+
+def test_files_of_half_a_step_are_moved_once(spark, monkeypatch):
+    """A month that gains several files, and a driver that dies between two of them."""
+    load_sales(spark, [sale(k, "2024-01-05") for k in range(4)])
+    rename, moved = commits._rename, []
+
+    def dying(files, old, new):
+        if str(new).endswith(".parquet"):
+            moved.append(str(new))
+            if len(moved) == 2:
+                raise Crash
+        rename(files, old, new)
+
+    monkeypatch.setattr(commits, "_rename", dying)
+    new = tables.with_month(tables.table_rows(spark, DEV["Sales"]).withColumn("Sales_ID", F.col("Sales_ID") + 10), DEV["Sales"])
+    with pytest.raises(Crash):
+        commits.change_months(new.repartition(4, "Sales_ID"), DEV["Sales"])
+    monkeypatch.undo()
+    assert len(moved) == 2
+    commits.settle(spark, DEV["Sales"])
+    commits.settle(spark, DEV["Sales"])
+    assert [r[0] for r in sales(spark)] == [0, 1, 2, 3, 10, 11, 12, 13]
+
+
+def test_a_load_runs_few_jobs(spark):
+    load_sales(spark, [sale(k, "2024-01-05") for k in range(20)])
+    put_raw(spark, "Sales", [sale(k, "2024-01-05", 10.0 + k % 3) for k in range(10, 30)])
+    context = spark.sparkContext
+    context.setJobGroup("one load", "")
+    loads.load_fact(spark, DEV["Sales"], as_of=AS_OF)
+    jobs = context.statusTracker().getJobIdsForGroup("one load")
+    context._jsc.clearJobGroup()
+    # With adaptive execution every shuffle and broadcast of the five passes is a job of its own.
+    assert len(jobs) <= 20, len(jobs)
+
+
 def test_lookback_takes_late_corrections(spark):
     load_sales(spark, [sale(1, "2024-01-05"), sale(2, "2024-01-10")])
     put_raw(spark, "Sales", [sale(1, "2024-01-05", 99.0), sale(2, "2024-01-10")])
@@ -127,8 +230,8 @@ def test_shuffled_joins_load_the_same(spark):
 
 def test_memory_size_counts_texts(spark):
     rows = spark.sql("SELECT repeat('x', 1000) AS a, CAST(NULL AS STRING) AS b, 1L AS c FROM range(50)")
-    assert tables.memory_size(rows) == 50 * (1000 + 3 * 16)
-    assert tables.memory_size(rows.limit(0)) == 0
+    assert rows.agg(tables.total_size(rows)).first()[0] == 50 * (1000 + 3 * 16)
+    assert rows.limit(0).agg(tables.total_size(rows)).first()[0] == 0
 
 
 def test_two_changes_of_one_row_stop_the_load(spark):
@@ -175,12 +278,23 @@ def test_failed_refresh_keeps_the_old_rows(spark):
     assert loads.load(spark, "dev", "Products").RowsInserted == 2
     assert held() == ["p3", "p4"]
     folder = Path(spark.table("dev_data.Products").inputFiles()[0].removeprefix("file:")).parent
-    assert len(list(folder.parent.glob("version=*"))) > 1
+    assert len(list(folder.parent.glob("version=*"))) == 2
     tables.drop_old_versions(spark, DEV["Products"])
     assert list(folder.parent.glob("version=*")) == [folder]
     assert held() == ["p3", "p4"]
 
 
+def test_refreshes_keep_so_many_versions(spark):
+    put_raw(spark, "Accounts", [{"Account_ID": "a"}])
+    spec = DEV["Accounts"]
+    for keep, left in ((3, 1), (3, 2), (3, 3), (3, 3), (2, 2), (1, 1)):
+        rows = spark.table(f"{loads.RAW}.{spec.source}").select(*spec.names)
+        assert tables.replace_rows(rows, spec, keep).get["n"] == 1
+        base = Path(tables.location(spark, spec).removeprefix("file:")).parent
+        assert len(list(base.glob("version=*"))) == left
+        assert tables.table_rows(spark, spec).count() == 1
+
+
 def test_all_tiers(spark):
     for name, spec in DEV.items():
         put_raw(spark, name, [{spec.key: 1 if spec.is_fact or name == "Date" else "a1"}])
@@ -205,7 +319,8 @@ def test_all_tiers(spark):
     )
     assert star.count() == 2
     log = loads.log_rows(spark).orderBy("LogID").collect()
-    assert [r.LogID for r in log] == list(range(1, 40))
+    assert len({r.LogID for r in log}) == len(log) == 39
+    assert [r.StartTime for r in log] == sorted(r.StartTime for r in log)
     assert log[0].ProcedureName == "pr_dev_fact_budget" and log[0].StartTime.microsecond == 0
 
 
@@ -269,7 +384,55 @@ def test_log_retention(spark):
     loads.retain_log(spark, AS_OF)
     assert [r.StartTime for r in loads.log_rows(spark).collect()] == [edge.StartTime]
     loads.append_log(spark, [edge])
-    assert sorted(r.LogID for r in loads.log_rows(spark).collect()) == [3, 4]
+    assert len({r.LogID for r in loads.log_rows(spark).collect()}) == 2
+
+
+def test_interleaved_appends_give_distinct_ids(spark, monkeypatch):
+    """Two applications, and two sessions of one, that log the same second without seeing each other."""
+    same = [loads.Outcome("dev_data", f"p{i}", when("2024-05-21 12:00:00"), AS_OF, 1, 0, "Success", None) for i in range(3)]
+    batch = spark.createDataFrame([astuple(o)[:-1] for o in same], loads.OUTCOME_DDL)
+    here, there = (runlog.application_number(x) for x in ("app-1", "app-2"))
+    appends = [runlog.outcome_rows(batch, a, runlog.reserved(3)) for a in (here, here, there)] + [runlog.outcome_rows(batch, there, 0)]
+    assert len({r.LogID for df in appends[:3] for r in df.collect()}) == 9
+    assert len({r.LogID for df in appends[1:] for r in df.collect()}) == 9
+    later = runlog.outcome_rows(batch.withColumn("StartTime", F.expr("StartTime + INTERVAL 1 SECOND")), there, 65_535)
+    assert min(r.LogID for r in later.collect()) > max(r.LogID for df in appends for r in df.collect())
+    assert "SinglePartition" not in appends[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in runlog.appended(loads_log(spark), batch)._jdf.queryExecution().executedPlan().toString()
+
+
+def loads_log(spark):
+    loads.create_log(spark)
+    return loads.log_rows(spark)
+
+
+def test_corrections_of_any_age(spark):
+    first = [sale(1, "2024-01-05"), sale(2, "2024-02-10"), sale(3, "2024-03-20"), sale(4, "2024-01-06")]
+    load_sales(spark, first)
+    put_raw(spark, "Sales", [sale(1, "2024-01-05", 99.0), sale(2, "2024-01-11"), sale(3, "2024-03-20"), sale(4, "2024-01-06", 10.0, None), sale(9, "2024-01-01")])
+    assert loads.load_fact(spark, DEV["Sales"], as_of=AS_OF) == (0, 0)
+    # The late row 9 is none of them, nor is a change to NULL.
+    assert loads.load_fact(spark, DEV["Sales"], as_of=AS_OF, corrections=True) == (0, 2)
+    assert [r[:3] for r in sales(spark)] == [(1, "2024-01-05", 99.0), (2, "2024-01-11", 10.0), (3, "2024-03-20", 10.0), (4, "2024-01-06", 10.0)]
+    assert loads.load_fact(spark, DEV["Sales"], as_of=AS_OF, corrections=True) == (0, 0)
+
+
+def test_only_differing_ranges_are_compared(spark):
+    spec = DEV["Sales"]
+    load_sales(spark, [sale(k, f"2024-0{1 + k // 100}-05") for k in range(400)])
+    target = spark.table("dev_data.Sales")
+    rows = tables.table_rows(spark, spec)
+    source = rows.withColumn("Total_Amount", F.when(F.col("Sales_ID") == 123, F.lit(5).cast("decimal(18,2)")).otherwise(F.col("Total_Amount")))
+    ranges = upsert.differing_ranges(source, target, spec, size=10).collect()
+    assert [(str(r[0]), r[1]) for r in ranges] == [("2024-02-01", 12)]
+    since = F.lit("2024-12-01").cast("timestamp_ntz")
+    staged = lambda df: tables.staged(df, "ranges")
+    found = upsert.late_corrections(source, target, spec, since, staged, size=10)
+    assert [(r.Sales_ID, float(r.Total_Amount), float(r.old_Total_Amount)) for r in found.collect()] == [(123, 5.0, 10.0)]
+    part = upsert.of_ranges(target, spec, staged(spark.createDataFrame(ranges)), [ranges[0][0]], size=10)
+    assert sorted(r.Sales_ID for r in part.collect()) == list(range(120, 130))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_month" in plan and "2024-02-01" in plan
 
 
 def test_workbooks_to_raw_tables(spark, tmp_path):

@@ -5,6 +5,7 @@ import zipfile
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.workbooks import DOCUMENT, MAIN, PACKAGE, workbook_bytes
 from tidemark.sources import workbook
@@ -129,3 +130,60 @@ def test_empty_sheets_missing_texts_and_iso_dates(spark):
     listed = {r.sheet: (r.row_count, r.column_count, r.columns) for r in workbook.manifest(found).collect()}
     assert listed == {"Full": (1, 1, ["h"]), "Empty": (0, 0, [])}
     assert workbook.cells(found).count() == 0
+
+
+def plain_rows(df):
+    return sorted((r.workbook, r.position, r.sheet, r.row_no or 0, r.cells, r.kinds, r.error) for r in df.collect())
+
+
+@pytest.mark.parametrize("piece", [1, 300, 4 << 20])
+def test_pieces_of_any_size_give_the_same_rows(spark, piece):
+    """Gaps, rows without a value and rows without a number, also where a piece ends."""
+    rows = ["<row r=\"3\"><c r=\"B3\"><v>1</v></c></row>", "<row><c t=\"e\"><v>#N/A</v></c></row>", "<row/>", "<row><c><v>2</v></c></row>"]
+    rows += ['<row r="12" spans="1:1"><c r="A12" s="1"/></row>', '<row r="20"><c r="A20" t="s"><v>1</v></c></row>', '<row r="21"/>']
+    rows += [f'<row r="{30 + i}"><c r="A{30 + i}"><v>{i}</v></c></row>' for i in range(40)]
+    books = {
+        "a": office_bytes("".join(rows), SHARED, STYLES),
+        "b": office_bytes("".join(rows[1:5]), SHARED, STYLES),
+        "c": office_bytes("<row r=\"1\"/><row r=\"2\"><c r=\"A2\" t=\"e\"><v>x</v></c></row>"),
+        "d": office_bytes('<row r="2"><c r="A2" t="inlineStr"><is><t><![CDATA[<row r="9">]]></t></is></c></row><!-- <row> -->' + "".join(rows[-5:])),
+        "e": workbook_bytes({"S": [["h"], [1]], "Empty": [], "T": [["t"], *[[i] for i in range(50)]]}),
+    }
+    found = plain_rows(workbook.sheet_rows(files(spark, **books), piece_bytes=piece, slot_bytes=piece))
+    numbers = {k: [r[3] for r in found if r[0] == k] for k in books}
+    assert numbers["a"] == [*range(1, 7), *range(7, 21), *range(21, 70)]
+    assert [r[3] for r in found if r[0] == "a" and r[4]] == [3, 6, 20, *range(30, 70)]
+    assert numbers["b"] == [1, 2, 3] and [r[4] for r in found if r[0] == "b"] == [[], [], ["2"]]
+    assert [r[3:] for r in found if r[0] == "c"] == [(0, None, None, None)]
+    assert [r[4] for r in found if r[0] == "d" and r[4]] == [['<row r="9">'], *[[str(i)] for i in range(35, 40)]]
+    assert [(r[2], r[3]) for r in found if r[0] == "e"] == [("S", 1), ("S", 2), ("Empty", 0), *[("T", i) for i in range(1, 52)]]
+
+
+def test_one_workbook_is_decoded_by_several_tasks(spark):
+    content = workbook_bytes({f"S{k}": [["h"], *[[i] for i in range(300)]] for k in range(3)})
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    try:
+        pieces = workbook.sheet_pieces(files(spark, one=content), 2000, 4000)
+        by_task = pieces.where("xml IS NOT NULL AND position > 0").groupBy(F.spark_partition_id().alias("task"), "sheet").agg(F.count(F.lit(1)).alias("n")).collect()
+        assert len({r.task for r in by_task}) > 2
+        assert max(sum(r.sheet == s for r in by_task) for s in ("S0", "S1", "S2")) > 1
+        shared = pieces.where("position = 0").count()
+        assert shared == pieces.select("slot").where("slot > 0").distinct().count() > 5
+        rows = workbook.sheet_rows(files(spark, one=content), piece_bytes=2000, slot_bytes=4000).groupBy("sheet")
+        found = rows.agg(F.count(F.lit(1)).alias("n"), F.max("row_no").alias("last")).collect()
+        assert sorted(map(tuple, found)) == [("S0", 301, 301), ("S1", 301, 301), ("S2", 301, 301)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+def test_sheets_in_other_encodings_and_with_prefixes(spark):
+    good = office_bytes('<row r="1"><c r="A1" t="inlineStr"><is><t>é</t></is></c></row><row r="2"><c r="A2"><v>5</v></c></row>')
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(good)) as old, zipfile.ZipFile(out, "w") as new:
+        for name in old.namelist():
+            data = old.read(name)
+            if name.endswith("other.xml"):
+                text = '<?xml version="1.0" encoding="utf-16"?>' + data.decode()
+                data = text.replace("xmlns=", "xmlns:x=").replace("<", "<x:").replace("<x:/", "</x:").replace("<x:?", "<?").encode("utf-16")
+            new.writestr(name, data)
+    assert table(spark, out.getvalue()) == ({"é": "bigint"}, [(5,)])

@@ -8,8 +8,10 @@ from pyspark.sql import Column as SparkColumn, DataFrame, functions as F
 
 from tidemark.plans.specs import Column
 
-# Narrowest first; a column that fits none of them stays text.
-CANDIDATE_TYPES = ("bigint", "double", "timestamp_ntz")
+# Types a value can be read as, narrowest first. A value stands for the set of those that it fits,
+# a bit each, and a column for the set that all its values fit: a lattice, whose meet is a bitwise
+# and. Text fits everything.
+TYPES = ("boolean", "bigint", "double", "timestamp_ntz", "string")
 LOOKS_LIKE = {
     "bigint": r"^\s*[+-]?\d+\s*$",
     "double": r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$",
@@ -48,33 +50,44 @@ def conform(df: DataFrame, columns: Sequence[Column]) -> DataFrame:
     return df.select(*[conform_column(c, quoted(c.name)) for c in columns])
 
 
-def _readable(text: SparkColumn, kind: str) -> SparkColumn:
-    """``text`` as ``kind`` where it looks like one, else NULL.
+def fitting(*types: str) -> SparkColumn:
+    """The set of the given types and text."""
+    return F.lit(sum(1 << TYPES.index(t) for t in {*types, "string"}))
+
+
+def text_types(text: SparkColumn) -> SparkColumn:
+    """What a text can be read as; NULL for NULL.
 
     Casting is tried only on text of the right look: a failed cast to a number costs an
     exception each, and most text columns fail in every row.
     """
-    return F.when(text.rlike(LOOKS_LIKE[kind]), text.try_cast(kind))
 
+    def readable(kind: str) -> SparkColumn:
+        return text.rlike(LOOKS_LIKE[kind]) & text.try_cast(kind).isNotNull()
+
+    return (
+        F.when(text.isNull(), F.lit(None))
+        .when(readable("bigint"), fitting("bigint", "double"))
+        .when(readable("double"), fitting("double"))
+        .when(readable("timestamp_ntz"), fitting("timestamp_ntz"))
+        .otherwise(fitting())
+    )
 
-def inferred_types(df: DataFrame, candidates: Sequence[str] = CANDIDATE_TYPES) -> DataFrame:
-    """One row per text column: how many values it has and the narrowest type they all fit.
 
-    A single aggregation over the whole table; partial counts are merged per task.
+def column_types(df: DataFrame, sets: Sequence[tuple[str, SparkColumn]]) -> DataFrame:
+    """One row per column, given its name and what each value fits: how many values it has and the
+    narrowest type that all of them fit; text where there is none.
+
+    A single aggregation over the whole table; partial results are merged per task.
     """
-    counts = []
-    for i, name in enumerate(df.columns):
-        text = quoted(name).cast("string")
-        counts.append(F.count(text).alias(f"n{i}"))
-        counts += [F.count(_readable(text, kind)).alias(f"n{i}_{kind}") for kind in candidates]
-    totals = df.agg(*counts)
+    facts = []
+    for i, (_, fits) in enumerate(sets):
+        facts += [F.count(fits).alias(f"n{i}"), F.bit_and(fits).alias(f"fits{i}")]
     columns = []
-    for i, name in enumerate(df.columns):
+    for i, (name, _) in enumerate(sets):
         kind = F.lit("string")
-        for candidate in reversed(candidates):
-            kind = F.when(F.col(f"n{i}_{candidate}") == F.col(f"n{i}"), candidate).otherwise(kind)
-        # A column without any value says nothing about its type.
-        kind = F.when(F.col(f"n{i}") == 0, "string").otherwise(kind)
+        for bit, candidate in reversed(list(enumerate(TYPES))):
+            kind = F.when(F.col(f"fits{i}").bitwiseAND(F.lit(1 << bit)) != 0, candidate).otherwise(kind)
         columns.append(
             F.struct(
                 F.lit(name).alias("column_name"),
@@ -82,7 +95,12 @@ def inferred_types(df: DataFrame, candidates: Sequence[str] = CANDIDATE_TYPES) -
                 kind.alias("inferred_type"),
             )
         )
-    return totals.select(F.inline(F.array(*columns)))
+    return df.agg(*facts).select(F.inline(F.array(*columns)))
+
+
+def inferred_types(df: DataFrame) -> DataFrame:
+    """One row per text column: how many values it has and the narrowest type they all fit."""
+    return column_types(df, [(name, text_types(quoted(name).cast("string"))) for name in df.columns])
 
 
 def with_inferred_types(df: DataFrame) -> DataFrame:

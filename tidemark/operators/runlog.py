@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from threading import Lock
+from zlib import crc32
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.dates import minus_hours, minute_text, second_text
@@ -29,14 +32,46 @@ def to_second(value: Column) -> Column:
     return second_text(value + F.expr("INTERVAL 500 MILLISECONDS")).cast("timestamp_ntz")
 
 
-def outcome_rows(outcomes: DataFrame, last_id: int) -> DataFrame:
-    """Outcomes of one run as log rows, numbered on from ``last_id``.
+# A log id is put together from the second of the start, counted from ID_EPOCH, a number of the
+# application and a counter, in so many bits.
+ID_EPOCH = "2020-01-01"
+APPLICATION_BITS, COUNTER_BITS = 16, 16
+
+_LOCK = Lock()
+_NEXT = 0
+
+
+def application_number(application_id: str) -> int:
+    return crc32(application_id.encode()) % (1 << APPLICATION_BITS)
+
+
+def reserved(n: int) -> int:
+    """The first of ``n`` counter values that no other append of this application gets."""
+    global _NEXT
+    with _LOCK:
+        first, _NEXT = _NEXT, _NEXT + n
+    return first
+
 
-    One row per load of the run, so the ordering over all of them is a small one.
+def log_ids(start: Column, nth: Column, application: int, first: int = 0) -> Column:
+    """Ids that grow with the start and need no look at the log.
+
+    Appends of one application differ in the counter, those of two at the same second in the
+    application's number.
     """
-    numbered = F.row_number().over(Window.orderBy("StartTime", "SchemaName", "ProcedureName"))
-    return outcomes.select(
-        (numbered + F.lit(last_id)).cast("bigint").alias("LogID"),
+    day = F.date_diff(start.cast("date"), F.lit(ID_EPOCH).cast("date")).cast("bigint")
+    second = day * 86_400 + F.hour(start) * 3600 + F.minute(start) * 60 + F.second(start)
+    most = 1 << COUNTER_BITS
+    counter = F.when(nth <= most, F.pmod(nth - 1 + first, F.lit(most))).otherwise(
+        F.raise_error(F.lit(f"more than {most} outcomes of one second"))
+    )
+    shifted = F.shiftleft(F.coalesce(second, F.lit(0).cast("bigint")), APPLICATION_BITS + COUNTER_BITS)
+    return (shifted + F.lit(application << COUNTER_BITS) + counter).cast("bigint")
+
+
+def outcome_rows(outcomes: DataFrame, application: int = 0, first: int = 0) -> DataFrame:
+    """Outcomes as log rows. They are numbered within the second they start in, so no task sees all."""
+    rows = outcomes.select(
         "SchemaName",
         "ProcedureName",
         to_second(F.col("StartTime")).alias("StartTime"),
@@ -46,14 +81,15 @@ def outcome_rows(outcomes: DataFrame, last_id: int) -> DataFrame:
         "Status",
         F.left(F.col("ErrorMessage"), F.lit(ERROR_LENGTH)).alias("ErrorMessage"),
     )
+    nth = F.row_number().over(Window.partitionBy("StartTime").orderBy("SchemaName", "ProcedureName"))
+    numbered = rows.withColumn("nth", nth)
+    return numbered.select(
+        log_ids(F.col("StartTime"), F.col("nth"), application, first).alias("LogID"), *LOG_COLUMNS[1:]
+    )
 
 
-def last_log_id(log: DataFrame) -> int:
-    return log.agg(F.coalesce(F.max("LogID"), F.lit(0))).first()[0]
-
-
-def appended(log: DataFrame, outcomes: DataFrame) -> DataFrame:
-    return log.select(*LOG_COLUMNS).unionByName(outcome_rows(outcomes, last_log_id(log)))
+def appended(log: DataFrame, outcomes: DataFrame, application: int = 0, first: int = 0) -> DataFrame:
+    return log.select(*LOG_COLUMNS).unionByName(outcome_rows(outcomes, application, first))
 
 
 def expiry(as_of: Column, days: int = KEEP_DAYS) -> Column:

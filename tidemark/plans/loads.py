@@ -7,31 +7,34 @@ load in the run log. Raw tables live in the database named by ``raw``.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import astuple, dataclass, replace
 from datetime import datetime, timedelta, timezone
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from tidemark.functions.dates import moment, month_start
+from tidemark.functions.dates import moment
 from tidemark.functions.names import table_name
 from tidemark.operators import runlog, upsert
 from tidemark.operators.conform import quoted
-from tidemark.operators.refresh import refreshed, with_first_event
+from tidemark.operators.refresh import counted, refreshed, with_first_event
 from tidemark.operators.upsert import MONTH
 from tidemark.plans.specs import DEV, SPECS, TableSpec
-from tidemark.sources import tables, workbook
+from tidemark.sources import commits, tables, workbook
 
 RAW = "raw_data"
 LOG = "admin_logging.ExecutionLogs"
 LOG_DAY = "log_day"
 
 # Bounds for a broadcast: keys of an increment (a BIGINT each), and bytes in memory of the
-# rows that update a fact. Beyond them the join is a shuffled one.
+# increment that updates a fact. Beyond them the join is a shuffled one.
 BROADCAST_KEYS = 5_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Of a row of an increment that does something: whether it is new.
+ADDS = "adds"
+
 
 class AmbiguousUpsert(ValueError):
     """More than one increment row would change one target row."""
@@ -74,15 +77,20 @@ def _now() -> datetime:
 
 
 def ingest_workbooks(
-    spark: SparkSession, folder: str, raw: str = RAW, prefix: str = "", overwrite: bool = True
+    spark: SparkSession,
+    folder: str | None = None,
+    raw: str = RAW,
+    prefix: str = "",
+    overwrite: bool = True,
+    files: DataFrame | None = None,
 ) -> list[Outcome]:
     """Every sheet of the workbooks under ``folder`` as a raw table.
 
     The workbooks are decoded once. A sheet that cannot be read or loaded is reported and
-    the others go on.
+    the others go on. ``files`` (path, content) stands in for a folder.
     """
     with tables.Staging(spark, "workbooks") as staging:
-        files = workbook.workbook_files(spark, folder)
+        files = workbook.workbook_files(spark, folder) if files is None else files
         rows = staging.write(workbook.sheet_rows(files), "sheets", "sheet")
         failed = rows.where(F.col("error").isNotNull()).select("workbook", "sheet", "error")
         outcomes = [
@@ -105,9 +113,9 @@ def _write_sheet(
 ) -> tuple[int, int]:
     if claims > 1:
         raise ValueError(f"{claims} sheets, {sheet} among them, would become {name}")
-    df = workbook.sheet_table(rows, sheet)
+    df, seen = counted(workbook.sheet_table(rows, sheet))
     (tables.overwrite if overwrite else tables.create_only)(df, name)
-    return df.sparkSession.table(name).count(), 0
+    return seen.get["n"], 0
 
 
 # ---- one load ---------------------------------------------------------------------------
@@ -118,10 +126,21 @@ def _source(spark: SparkSession, spec: TableSpec, raw: str) -> DataFrame:
     return spark.table(name)
 
 
-def load_dimension(spark: SparkSession, spec: TableSpec, raw: str = RAW) -> tuple[int, int]:
-    rows = _source(spark, spec, raw)
-    if (spec.tier, spec.table) == ("test", "Products"):
-        sales = spark.table("dev_data.Sales")
+def load_dimension(
+    spark: SparkSession,
+    spec: TableSpec,
+    raw: str = RAW,
+    source: DataFrame | None = None,
+    sales: DataFrame | None = None,
+) -> tuple[int, int]:
+    """Full refresh of one dimension; rows inserted, and none updated.
+
+    ``source`` and ``sales`` stand in for the tables that the spec, or the launch dates of the test
+    products, are read from.
+    """
+    rows = _source(spark, spec, raw) if source is None else source
+    if "Launch_Date" in spec.names:
+        sales = spark.table("dev_data.Sales") if sales is None else sales
         rows = with_first_event(rows, sales, "Product_ID", "Transaction_DateTime", "Launch_Date")
     seen = tables.replace_rows(refreshed(rows, spec), spec)
     return seen.get["n"], 0
@@ -136,10 +155,12 @@ def load_fact(
     broadcast_keys: int = BROADCAST_KEYS,
     broadcast_bytes: int = BROADCAST_BYTES,
     source: DataFrame | None = None,
+    corrections: bool = False,
 ) -> tuple[int, int]:
     """Incremental upsert of one fact; rows inserted and updated.
 
-    ``source`` stands in for the table the spec names as its source.
+    ``source`` stands in for the table the spec names as its source. With ``corrections`` rows older
+    than the watermark are taken too where they change a row of the table, however old they are.
 
     The source is scanned once: the increment is written to the shared folder, and all that
     follows reads it from there with its size known. The target is scanned once for key and
@@ -147,9 +168,10 @@ def load_fact(
     the months with a change are read in full and replaced in one write.
     """
     tables.create_if_missing(spark, spec)
+    commits.settle(spark, spec)
     with tables.Staging(spark, spec.table) as staging:
         source = _source(spark, spec, raw) if source is None else source
-        return _upsert(source, spec, as_of, lookback_days, staging, broadcast_keys, broadcast_bytes)
+        return _upsert(source, spec, as_of, lookback_days, staging, broadcast_keys, broadcast_bytes, corrections)
 
 
 def _upsert(
@@ -160,63 +182,72 @@ def _upsert(
     staging: tables.Staging,
     broadcast_keys: int,
     broadcast_bytes: int,
+    corrections: bool,
 ) -> tuple[int, int]:
+    """Five passes, and one more where keys repeat: the watermark, the increment with its size, repeated
+    keys, what each row does, how many do what by month, the new files. Spark runs each as a few jobs."""
     spark = source.sparkSession
     table = spark.table(spec.full_name)
     months = tables.partition_values(spark, spec.full_name)
     newest = table.where(F.col(MONTH) == F.lit(months[-1])) if months else table
     since = upsert.watermark_literal(newest, spec.event)
     found = upsert.increment(source, spec.source_event, since, lookback_days)
-    rows = staging.write(upsert.shaped_for(spec, found, moment(as_of)), "increment")
+    shaped = upsert.shaped_for(spec, found, moment(as_of))
+    if corrections:
+        limit = since - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
+        older = upsert.shaped_for(spec, source, moment(as_of))
+        ranges = partial(staging.write, name="ranges")
+        shaped = shaped.union(upsert.late_corrections(older, table, spec, limit, ranges).select(*map(quoted, spec.names)))
+    rows, n_rows, size = _sized(shaped, staging, "increment")
     rows = _unambiguous(table, rows, spec, staging)
 
-    matches = staging.write(_matches(table, rows, spec, broadcast_keys), "matches")
-    moves = matches.where("changed").groupBy(MONTH, "new_month").count().collect()
-    n_updated = sum(move["count"] for move in moves)
-    added = upsert.new_rows(rows, matches, spec.key).select(*map(quoted, spec.names))
-    by_month = added.groupBy(month_start(quoted(spec.event)).alias(MONTH)).count().collect()
-    n_inserted = sum(r["count"] for r in by_month)
-
-    if n_updated:
-        touched = {*(r[MONTH] for r in [*by_month, *moves]), *(r["new_month"] for r in moves)}
-        part = table.where(F.col(MONTH).isin(sorted(touched)))
-        emptied = _emptied(part, moves, {r[MONTH] for r in by_month})
-        changed_keys = matches.where("changed").select(quoted(spec.key))
-        updates = staging.write(rows.join(changed_keys, spec.key, "left_semi"), "updates")
-        if tables.memory_size(updates) <= broadcast_bytes:
+    effects = staging.write(_effects(table, rows, spec, n_rows <= broadcast_keys), "effects", ADDS)
+    counts = effects.groupBy(ADDS, MONTH).count().collect()
+    n_inserted = sum(r["count"] for r in counts if r[ADDS])
+    n_updated = sum(r["count"] for r in counts if not r[ADDS])
+    if not counts:
+        return 0, 0
+    new = tables.with_month(effects.where(ADDS), spec).select(*map(quoted, [*spec.names, MONTH]))
+    rewritten = sorted({r[MONTH] for r in counts if not r[ADDS]})
+    if rewritten:
+        part = table.where(F.col(MONTH).isin(rewritten))
+        changed = effects.where(~F.col(ADDS)).select(quoted(spec.key)).distinct()
+        changed = F.broadcast(changed) if n_updated <= broadcast_keys else changed
+        updates = rows.join(changed, spec.key, "left_semi")
+        if size <= broadcast_bytes:
             # The rewritten rows stay in the tasks that read them, month by month.
             kept = tables.with_month(upsert.updated(part, F.broadcast(updates), spec), spec)
         else:
             kept = tables.by_month(upsert.updated(part, updates, spec), spec)
-        tables.replace_months(kept.unionByName(tables.by_month(added, spec)), spec)
-        tables.drop_months(spark, spec, emptied)
-    elif n_inserted:
-        tables.append_months(tables.by_month(added, spec), spec)
-    spark.catalog.refreshTable(spec.full_name)
+        commits.change_months(kept.unionByName(new.hint("rebalance", MONTH)), spec, rewritten)
+    else:
+        commits.change_months(new.hint("rebalance", MONTH), spec)
     return n_inserted, n_updated
 
 
-def _matches(table: DataFrame, rows: DataFrame, spec: TableSpec, broadcast_keys: int) -> DataFrame:
-    """Key, month before and after, and whether it changes, of each target row with a partner.
+def _sized(df: DataFrame, staging: tables.Staging, name: str) -> tuple[DataFrame, int, int]:
+    """``df`` staged, its number of rows and bytes in memory; both are taken on the way."""
+    seen = Observation(name)
+    observed = df.observe(seen, F.count(F.lit(1)).alias("n"), tables.total_size(df).alias("size"))
+    return staging.write(observed, name), seen.get["n"], seen.get["size"]
 
-    The target is first reduced to the increment's keys. Up to a checked number of keys
-    that takes a broadcast, and the target's rows are not shuffled.
+
+def _effects(table: DataFrame, rows: DataFrame, spec: TableSpec, broadcast: bool) -> DataFrame:
+    """What the increment does: its rows that are new, and for each target row that changes one
+    increment row with the month the target row is in.
+
+    The target is first reduced to key and compared columns of the increment's keys. Up to a
+    checked number of keys that takes a broadcast, and the target's rows are not shuffled.
     """
     compared = [spec.key, *spec.compare, *spec.compare_null_safe]
     keys = rows.select(quoted(spec.key))
-    if rows.count() <= broadcast_keys:
-        keys = F.broadcast(keys)
+    held = table.select(*map(quoted, compared), MONTH).join(F.broadcast(keys) if broadcast else keys, spec.key, "left_semi")
+    adds = quoted(spec.key, "t").isNull()
     return (
-        table.select(*map(quoted, compared), MONTH)
-        .join(keys, spec.key, "left_semi")
-        .alias("t")
-        .join(rows.select(*map(quoted, compared)).alias("s"), upsert.same_key(spec))
-        .select(
-            quoted(spec.key, "s").alias(spec.key),
-            quoted(MONTH, "t").alias(MONTH),
-            month_start(quoted(spec.event, "s")).alias("new_month"),
-            F.coalesce(upsert.is_changed(spec), F.lit(False)).alias("changed"),
-        )
+        rows.alias("s")
+        .join(held.alias("t"), upsert.same_key(spec), "left")
+        .where(adds | F.coalesce(upsert.is_changed(spec), F.lit(False)))
+        .select(*[quoted(c, "s").alias(c) for c in spec.names], quoted(MONTH, "t").alias(MONTH), adds.alias(ADDS))
     )
 
 
@@ -237,20 +268,6 @@ def _unambiguous(
     return staging.write(upsert.without_copies(rows, changes, spec), "single")
 
 
-def _emptied(part: DataFrame, moves: list, added_months: set) -> list:
-    """Months all of whose rows move to another month."""
-    leaving: dict = {}
-    for move in moves:
-        if move["new_month"] != move[MONTH]:
-            leaving[move[MONTH]] = leaving.get(move[MONTH], 0) + move["count"]
-    kept = added_months | {m["new_month"] for m in moves}
-    suspects = sorted(set(leaving) - kept)
-    if not suspects:
-        return []
-    held = part.where(F.col(MONTH).isin(suspects)).groupBy(MONTH).count().collect()
-    return [r[MONTH] for r in held if r["count"] == leaving[r[MONTH]]]
-
-
 # ---- run log ----------------------------------------------------------------------------
 
 
@@ -268,54 +285,56 @@ def _captured(
     return Outcome(schema, name, start, _now(), inserted, updated, "Success", None), None
 
 
-def create_log(spark: SparkSession) -> None:
+def create_log(spark: SparkSession, log: str = LOG) -> None:
     """The run log, stored by day so that retention drops whole days."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {LOG.split('.')[0]}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {log.split('.')[0]}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {LOG} ({runlog.LOG_DDL}, {LOG_DAY} DATE) "
+        f"CREATE TABLE IF NOT EXISTS {log} ({runlog.LOG_DDL}, {LOG_DAY} DATE) "
         f"USING parquet {tables.REPLACE_BY_PARTITION} PARTITIONED BY ({LOG_DAY})"
     )
 
 
-def log_rows(spark: SparkSession) -> DataFrame:
-    return spark.table(LOG).select(*runlog.LOG_COLUMNS)
+def log_rows(spark: SparkSession, log: str = LOG) -> DataFrame:
+    return spark.table(log).select(*runlog.LOG_COLUMNS)
 
 
-def append_log(spark: SparkSession, outcomes: list[Outcome]) -> None:
-    create_log(spark)
+def append_log(spark: SparkSession, outcomes: list[Outcome], log: str = LOG) -> None:
+    """Add outcomes to the log, which is not read for it; several applications may do so at once."""
+    create_log(spark, log)
     rows = [astuple(replace(o, LogError=None))[:-1] for o in outcomes]
     batch = spark.createDataFrame(rows, OUTCOME_DDL)
-    rows = runlog.outcome_rows(batch, runlog.last_log_id(log_rows(spark)))
-    _with_day(rows).coalesce(1).write.insertInto(LOG)
+    application = runlog.application_number(spark.sparkContext.applicationId)
+    rows = runlog.outcome_rows(batch, application, runlog.reserved(len(outcomes)))
+    _with_day(rows).coalesce(1).write.insertInto(log)
 
 
 def _with_day(rows: DataFrame) -> DataFrame:
     return rows.withColumn(LOG_DAY, F.col("StartTime").cast("date"))
 
 
-def retain_log(spark: SparkSession, as_of: datetime | None = None) -> None:
+def retain_log(spark: SparkSession, as_of: datetime | None = None, log: str = LOG) -> None:
     """Drop expired days and rewrite the one the limit falls in."""
     as_of = as_of or _now()
     limit = as_of - timedelta(days=runlog.KEEP_DAYS)
-    days = tables.partition_values(spark, LOG)
+    days = tables.partition_values(spark, log)
     expired = [d for d in days if d < limit.date()]
     if limit.date() in days:
-        boundary = spark.table(LOG).where(F.col(LOG_DAY) == F.lit(limit.date()))
+        boundary = spark.table(log).where(F.col(LOG_DAY) == F.lit(limit.date()))
         kept = runlog.retained(boundary, moment(as_of))
         if kept.isEmpty():
             expired.append(limit.date())
         else:
-            kept.write.mode("overwrite").insertInto(LOG)
+            kept.write.mode("overwrite").insertInto(log)
     for day in expired:
-        spark.sql(f"ALTER TABLE {LOG} DROP IF EXISTS PARTITION ({LOG_DAY} = DATE'{day}')")
-    spark.catalog.refreshTable(LOG)
+        spark.sql(f"ALTER TABLE {log} DROP IF EXISTS PARTITION ({LOG_DAY} = DATE'{day}')")
+    spark.catalog.refreshTable(log)
 
 
 # ---- loads and tiers --------------------------------------------------------------------
 
 
 def _logged(
-    spark: SparkSession, spec: TableSpec, raw: str, as_of: datetime | None, lookback_days: int
+    spark: SparkSession, spec: TableSpec, raw: str, as_of: datetime | None, lookback_days: int, log: str
 ) -> tuple[Outcome, Exception | None]:
     """Run one load and log it. What keeps the log from being written stands in the outcome.
 
@@ -329,8 +348,8 @@ def _logged(
 
     outcome, cause = _captured(spec.schema_name, procedure_name(spec), job)
     try:
-        append_log(spark, [outcome])
-        retain_log(spark)
+        append_log(spark, [outcome], log)
+        retain_log(spark, log=log)
     except Exception as error:
         outcome = replace(outcome, LogError=f"{type(error).__name__}: {error}")
     return outcome, cause
@@ -345,21 +364,33 @@ def load(
     lookback_days: int = 0,
 ) -> Outcome:
     """Run one load and log it; a failure is logged and then raised."""
-    outcome, cause = _logged(spark, SPECS[tier][table], raw, as_of, lookback_days)
+    outcome, cause = _logged(spark, SPECS[tier][table], raw, as_of, lookback_days, LOG)
     if cause is not None:
         raise RuntimeError(outcome.ErrorMessage) from cause
     return outcome
 
 
-def run_tier(
+def run_loads(
     spark: SparkSession,
-    tier: str,
+    specs: Iterable[TableSpec],
     raw: str = RAW,
     as_of: datetime | None = None,
     lookback_days: int = 0,
+    log: str = LOG,
 ) -> list[Outcome]:
-    """Run all loads of a tier, facts first.
+    """Run loads one after the other and log each.
 
     Neither a failing load nor a log that cannot be written stops the others.
     """
-    return [_logged(spark, spec, raw, as_of, lookback_days)[0] for spec in SPECS[tier].values()]
+    return [_logged(spark, spec, raw, as_of, lookback_days, log)[0] for spec in specs]
+
+
+def run_tier(
+    spark: SparkSession,
+    tier: str,
+    raw: str = RAW,
+    as_of: datetime | None = None,
+    lookback_days: int = 0,
+) -> list[Outcome]:
+    """Run all loads of a tier, facts first."""
+    return run_loads(spark, SPECS[tier].values(), raw, as_of, lookback_days)

@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 import re
 import tempfile
+import time
 import uuid
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions.dates import month_start
 from tidemark.operators.conform import quoted
@@ -20,6 +21,10 @@ PREVIEW_ROWS = 3
 PREVIEW_NAMES = 5
 TEXT_TYPES = ("string", "varchar", "char")
 
+# Folders of a dimension's refreshes, named in order of time, and how many of them stay.
+VERSION = "version="
+KEEP_VERSIONS = 2
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 # A table option: an overwriting insert replaces only the partitions it has rows of, and may
@@ -72,27 +77,27 @@ class Staging:
         return self
 
     def __exit__(self, *_) -> None:
-        files, path = _files(self.spark, self.folder)
+        files, path = file_system(self.spark, self.folder)
         files.delete(path, True)
 
     def write(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         return staged(df, name, *partition_by, folder=self.folder)
 
 
-def memory_size(df: DataFrame) -> int:
-    """Bytes the rows take in memory, about: the texts at their length, 16 for every value."""
+def total_size(df: DataFrame) -> Column:
+    """Sum over the rows of the bytes they take in memory, about: texts at their length, 16 a value."""
     texts = [F.coalesce(F.octet_length(quoted(f.name)), F.lit(0)) for f in df.schema if f.dataType.typeName() in TEXT_TYPES]
     length = sum(texts, F.lit(16 * len(df.columns)))
-    return df.agg(F.coalesce(F.sum(length.cast("long")), F.lit(0))).first()[0]
+    return F.coalesce(F.sum(length.cast("long")), F.lit(0))
 
 
-def _files(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
     """The file system a folder is on, and the folder as its path."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _ident(name: str) -> str:
+def ident(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
@@ -105,21 +110,21 @@ def create_if_missing(spark: SparkSession, spec) -> None:
 
     VARCHAR(n) is declared as such, so Spark refuses longer text on every write.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(spec.schema_name)}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {ident(spec.schema_name)}")
     columns = [f"`{c.name}` {c.type}" for c in spec.columns]
     stored_by = ""
     if spec.is_fact:
         columns.append(f"{MONTH} DATE")
         stored_by = f"{REPLACE_BY_PARTITION} PARTITIONED BY ({MONTH})"
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_ident(spec.full_name)} ({', '.join(columns)}) "
+        f"CREATE TABLE IF NOT EXISTS {ident(spec.full_name)} ({', '.join(columns)}) "
         f"USING parquet {stored_by}"
     )
 
 
 def table_rows(spark: SparkSession, spec) -> DataFrame:
     """A table's declared columns."""
-    return spark.table(_ident(spec.full_name)).select(*map(quoted, spec.names))
+    return spark.table(ident(spec.full_name)).select(*map(quoted, spec.names))
 
 
 def overwrite(df: DataFrame, name: str) -> None:
@@ -135,8 +140,8 @@ def create_only(df: DataFrame, name: str) -> None:
 def recreate(spark: SparkSession, name: str, columns: dict[str, str]) -> None:
     """Drop a table, if there is one, and create it empty with columns of the given types."""
     listed = ", ".join(f"`{column}` {kind}" for column, kind in columns.items())
-    spark.sql(f"DROP TABLE IF EXISTS {_ident(name)}")
-    spark.sql(f"CREATE TABLE {_ident(name)} ({listed}) USING parquet")
+    spark.sql(f"DROP TABLE IF EXISTS {ident(name)}")
+    spark.sql(f"CREATE TABLE {ident(name)} ({listed}) USING parquet")
 
 
 def append_by_position(df: DataFrame, name: str) -> None:
@@ -152,40 +157,44 @@ def append_by_position(df: DataFrame, name: str) -> None:
     df.select(*cast).write.insertInto(name)
 
 
-def _location(spark: SparkSession, spec) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(spec.full_name)} AS JSON").first()[0]
+def location(spark: SparkSession, spec) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {ident(spec.full_name)} AS JSON").first()[0]
     return json.loads(described)["location"]
 
 
 def _base_folder(spark: SparkSession, spec) -> str:
-    return _location(spark, spec).split("/version=")[0]
+    return location(spark, spec).split(f"/{VERSION}")[0]
 
 
-def replace_rows(df: DataFrame, spec) -> Observation:
+def replace_rows(df: DataFrame, spec, keep: int = KEEP_VERSIONS) -> Observation:
     """Full refresh: new rows go to a folder of their own, then the table points there.
 
     The table keeps its old rows until all new ones are written, and for good if writing
-    fails. The row count is taken on the way. The old folder is left to readers that still
-    use it; ``drop_old_versions`` removes it.
+    fails. The row count is taken on the way. After the switch the newest ``keep`` folders
+    stay, the one just written among them, for readers that still use an older one.
     """
     spark = df.sparkSession
     create_if_missing(spark, spec)
-    path = f"{_base_folder(spark, spec)}/version={uuid.uuid4().hex}"
+    path = f"{_base_folder(spark, spec)}/{VERSION}{time.time_ns():020d}-{uuid.uuid4().hex}"
     rows, seen = counted(df)
     rows.write.parquet(path)
-    spark.sql(f"ALTER TABLE {_ident(spec.full_name)} SET LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {ident(spec.full_name)} SET LOCATION '{path}'")
     spark.catalog.refreshTable(spec.full_name)
+    drop_old_versions(spark, spec, keep)
     return seen
 
 
-def drop_old_versions(spark: SparkSession, spec) -> None:
-    """Delete the folders of earlier refreshes. For times when nobody reads them."""
-    current = _location(spark, spec).rsplit("/", 1)[-1]
-    files, base = _files(spark, _base_folder(spark, spec))
-    for found in files.listStatus(base):
-        name = found.getPath().getName()
-        if name.startswith("version=") and name != current:
-            files.delete(found.getPath(), True)
+def drop_old_versions(spark: SparkSession, spec, keep: int = 1) -> None:
+    """Delete the folders of refreshes, but for the current one and ``keep`` - 1 before it.
+
+    What a failed refresh left is older than the next one and goes with the others.
+    """
+    current = location(spark, spec).rsplit("/", 1)[-1]
+    files, base = file_system(spark, _base_folder(spark, spec))
+    found = {s.getPath().getName(): s.getPath() for s in files.listStatus(base)}
+    older = sorted(n for n in found if n.startswith(VERSION) and n < current)
+    for name in older[: max(0, len(older) - (keep - 1))]:
+        files.delete(found[name], True)
 
 
 def with_month(df: DataFrame, spec) -> DataFrame:
@@ -202,27 +211,15 @@ def by_month(df: DataFrame, spec) -> DataFrame:
 
 def append_months(rows: DataFrame, spec) -> None:
     """Add rows (with their month) to a fact; nothing is read or rewritten."""
-    rows.write.insertInto(_ident(spec.full_name))
-
-
-def replace_months(rows: DataFrame, spec) -> None:
-    """Replace the months of a fact that the rows have; others are not touched."""
-    rows.write.mode("overwrite").insertInto(_ident(spec.full_name))
+    rows.write.insertInto(ident(spec.full_name))
 
 
 def partition_values(spark: SparkSession, name: str) -> list[date]:
     """Values of a table's only partition column, a DATE; asks the catalog, reads no file."""
-    listed = spark.sql(f"SHOW PARTITIONS {_ident(name)}").collect()
+    listed = spark.sql(f"SHOW PARTITIONS {ident(name)}").collect()
     return sorted(date.fromisoformat(r[0].split("=")[1]) for r in listed)
 
 
-def drop_months(spark: SparkSession, spec, months: list) -> None:
-    for month in months:
-        spark.sql(
-            f"ALTER TABLE {_ident(spec.full_name)} DROP IF EXISTS PARTITION ({MONTH} = DATE'{month}')"
-        )
-
-
 def preview(df: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
     return df.limit(rows)
 

@@ -1,9 +1,9 @@
 """Workbooks (.xlsx) as DataFrames.
 
-A workbook is a zip of XML parts. Spark has no reader for it, so each file is decoded where
-its bytes are, inside ``mapInPandas``; everything after that is built-in DataFrame work.
-Files are read in parallel. One file is decoded by one task, which the format bounds: a
-sheet has at most 1,048,576 rows of 16,384 columns.
+A workbook is a zip of XML parts, which Spark has no reader for. Where a file's bytes are, its sheets
+are only unpacked and cut between rows, which is quick; the pieces are then dealt out, each with what
+the whole workbook shares, and decoded by many tasks, however few workbooks there are. Everything
+after that is built-in DataFrame work.
 
 A row of a sheet stays one row with an array of cells. Turning sheets into tables is then a
 projection, without the shuffle a pivot of single cells would need. ``kinds`` holds a letter
@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.names import clean_headers
+from tidemark.operators.conform import column_types, fitting
 
 # XML names of the workbook format, the number formats that mean a date, and
 # the days dates count from (1900 system with its leap-year slip, and 1904 system).
@@ -71,10 +72,10 @@ def _sheet_parts(book: zipfile.ZipFile) -> list[tuple[str, str]]:
     ]
 
 
-def _shared_texts(book: zipfile.ZipFile) -> list[str]:
-    if "xl/sharedStrings.xml" not in book.namelist():
+def _shared_texts(part: bytes | None) -> list[str]:
+    if part is None:
         return []
-    root = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
+    root = ElementTree.fromstring(part)
     return [_plain_text(item) for item in root.iter(f"{MAIN}si")]
 
 
@@ -84,11 +85,11 @@ def _plain_text(item: ElementTree.Element) -> str:
     return "".join(t.text or "" for run in runs for t in run.findall(f"{MAIN}t"))
 
 
-def _date_styles(book: zipfile.ZipFile) -> set[int]:
+def _date_styles(part: bytes | None) -> set[int]:
     """Cell styles whose number format shows a date."""
-    if "xl/styles.xml" not in book.namelist():
+    if part is None:
         return set()
-    root = ElementTree.fromstring(book.read("xl/styles.xml"))
+    root = ElementTree.fromstring(part)
     own = {}
     for fmt in root.iter(f"{MAIN}numFmt"):
         code = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", fmt.get("formatCode", ""))
@@ -109,13 +110,13 @@ def _column_index(reference: str) -> int:
 
 class _Decoder:
     """Cell values of one workbook as text; None for an empty cell or, below the header, a text of
-    ``missing``."""
+    ``missing``. It is made of the parts that all sheets share."""
 
-    def __init__(self, book: zipfile.ZipFile, missing: frozenset[str] = MISSING):
+    def __init__(self, book: bytes, shared: bytes | None, styles: bytes | None, missing: frozenset[str] = MISSING):
         self.missing = missing
-        self.texts = _shared_texts(book)
-        self.date_styles = _date_styles(book)
-        properties = ElementTree.fromstring(book.read("xl/workbook.xml")).find(f"{MAIN}workbookPr")
+        self.texts = _shared_texts(shared)
+        self.date_styles = _date_styles(styles)
+        properties = ElementTree.fromstring(book).find(f"{MAIN}workbookPr")
         since_1904 = properties is not None and properties.get("date1904") in ("1", "true")
         self.epoch = EPOCH_1904 if since_1904 else EPOCH_1900
 
@@ -138,13 +139,15 @@ class _Decoder:
             return "d", datetime.fromisoformat(stored.removesuffix("Z")).isoformat(sep=" ")
         return ("n" if kind == "n" else "s"), stored
 
-    def rows(self, part) -> Iterator[tuple[int, list[str | None], str]]:
-        """Numbered rows up to the last one with a value; an empty row before it is kept."""
-        due = 1
-        for _, row in ElementTree.iterparse(part):
+    def rows(self, xml: bytes, number: int, due: int) -> Iterator[tuple[int, list[str | None], str]]:
+        """Numbered rows of a piece, up to its last one with a value; an empty row before it is kept.
+
+        ``number`` is that of the row before the piece, ``due`` follows the last row with a value there.
+        """
+        for _, row in ElementTree.iterparse(io.BytesIO(xml)):
             if row.tag != f"{MAIN}row":
                 continue
-            number = int(row.get("r", due))
+            number = int(row.get("r", number + 1))
             cells: list[tuple[str, str | None]] = []
             for cell in row.findall(f"{MAIN}c"):
                 reference = cell.get("r")
@@ -181,55 +184,220 @@ def sheets(files: DataFrame) -> DataFrame:
     return files.mapInPandas(_list_sheets, SHEET_DDL)
 
 
-ROWS_PER_BATCH = 10_000
-_ROW_NAMES = ["workbook", "position", "sheet", "row_no", "cells", "kinds", "error"]
-
-
-def _read_sheets(
-    batches: Iterator[pd.DataFrame], missing: frozenset[str]
-) -> Iterator[pd.DataFrame]:
-    for files in batches:
-        for path, content in zip(files["path"], files["content"]):
-            held: list[tuple] = []
-            for row in _workbook_rows(path, content, missing):
-                held.append(row)
-                if len(held) == ROWS_PER_BATCH:
-                    yield pd.DataFrame(held, columns=_ROW_NAMES)
-                    held = []
-            if held:
-                yield pd.DataFrame(held, columns=_ROW_NAMES)
+# ---- cutting sheets into pieces ---------------------------------------------------------
 
+#: Bytes of XML of a piece, and of the pieces that travel with one copy of what their workbook shares;
+#: where that is larger, it sets the size, so the copies together are no larger than the pieces.
+PIECE_BYTES, SLOT_BYTES = 4 << 20, 16 << 20
 
-def _workbook_rows(path: str, content: bytes, missing: frozenset[str]) -> Iterator[tuple]:
+PIECE_DDL = (
+    "workbook string, slot int, position int, sheet string, piece int, number int, due int, "
+    "xml binary, shared binary, styles binary, error string"
+)
+_PIECE_NAMES = [column.split()[0] for column in PIECE_DDL.split(", ")]
+
+_ENCODING = re.compile(rb"""^<\?xml[^>]*encoding=["']([\w.-]+)["']""")
+_ROOT = re.compile(rb"<((?:[\w.-]+:)?worksheet)[\s>]")
+_BEGIN = re.compile(rb"<((?:[\w.-]+:)?sheetData)(?:\s[^>]*)?(?<!/)>")
+_NO_ROWS = re.compile(rb"<(?:[\w.-]+:)?sheetData(?:\s[^>]*)?/>")
+_END = re.compile(rb"</(?:[\w.-]+:)?sheetData\s*>")
+_ROW = re.compile(rb"<(?:[\w.-]+:)?row(?=[\s/>])[^>]*>")
+_NUMBER = re.compile(rb"""\sr\s*=\s*["'](\d+)["']""")
+
+
+def _unpacked(stream) -> Iterator[bytes]:
+    """A part's XML in UTF-8, some of it at a time."""
+    first = stream.read(1 << 20)
+    named = _ENCODING.match(first)
+    if first[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        encoding = "utf-16"
+    else:
+        encoding = named[1].decode().lower() if named else "utf-8"
+    if encoding in ("utf-8", "utf8", "us-ascii", "ascii"):
+        while first:
+            yield first
+            first = stream.read(1 << 20)
+    else:
+        text = (first + stream.read()).decode(encoding)
+        yield re.sub(r"^\s*<\?xml.*?\?>", "", text.lstrip("\ufeff")).encode()
+
+
+def _has_value(cell: ElementTree.Element) -> bool:
+    kind = cell.get("t", "n")
+    if kind == "inlineStr":
+        return cell.find(f"{MAIN}is") is not None
+    return kind != "e" and cell.find(f"{MAIN}v") is not None
+
+
+def _pieces(stream, size: int) -> Iterator[tuple[int, int, bytes]]:
+    """A sheet as XML documents of whole rows, each with the number of the row before it and the number
+    due after the last row with a value. After the last piece comes one without XML if no row had one.
+
+    A sheet with comments or unparsed text in it, where ``<row`` may mean nothing, stays in one piece.
+    """
+    blocks = _unpacked(stream)
+    held = b""
+    begin = None
+    for block in blocks:
+        held += block
+        begin = _BEGIN.search(held)
+        if begin or _NO_ROWS.search(held):
+            break
+    if not begin:
+        yield 0, 1, b""
+        return
+    root = _ROOT.search(held)
+    head, tail = held[: begin.end()], b"</" + begin[1] + b"></" + (root[1] if root else b"worksheet") + b">"
+    held, number, due, ended = held[begin.end() :], 0, 1, False
+
+    def closed(rows: bytes) -> tuple[int, int]:
+        """Number of the last row, and the number due, after some rows."""
+        at, n = [], number
+        if b"<!" in rows:
+            following = due
+            for row in ElementTree.fromstring(head + rows + tail).iter(f"{MAIN}row"):
+                n = int(row.get("r", n + 1))
+                if any(map(_has_value, row.findall(f"{MAIN}c"))):
+                    following = n + 1
+            return n, following
+        for found in _ROW.finditer(rows):
+            own = _NUMBER.search(found[0])
+            n = int(own[1]) if own else n + 1
+            at.append((found.start(), n))
+        stop = len(rows)
+        for start, nth in reversed(at):  # almost always the last row has a value
+            row = ElementTree.fromstring(head + rows[start:stop] + tail).find(f".//{MAIN}row")
+            if any(map(_has_value, row.findall(f"{MAIN}c"))):
+                return n, nth + 1
+            stop = start
+        return n, due
+
+    while not ended:
+        end = _END.search(held)
+        if end:
+            held, ended = held[: end.start()], True
+        else:
+            block = next(blocks, None)
+            if block is None:
+                raise ValueError("the sheet ends in the middle of its rows")
+            held += block
+        cuts, at = [], 0
+        if b"<!" not in held and len(held) >= size:
+            for found in _ROW.finditer(held):
+                if found.start() - at >= size:
+                    at = found.start()
+                    cuts.append(at)
+        if ended:
+            cuts.append(len(held))
+        for low, high in zip([0, *cuts], cuts):
+            if held[low:high].strip():
+                yield number, due, head + held[low:high] + tail
+                number, due = closed(held[low:high])
+        held = held[cuts[-1] :] if cuts else held
+    if due == 1:
+        yield number, due, b""
+
+
+def _cut(files: Iterator[pd.DataFrame], piece_bytes: int, slot_bytes: int) -> Iterator[pd.DataFrame]:
+    """The pieces of each workbook. Where a slot begins comes a row with what its pieces share."""
+    for batch in files:
+        for path, content in zip(batch["path"], batch["content"]):
+            for row in _workbook_pieces(path, content, piece_bytes, slot_bytes):
+                yield pd.DataFrame([row], columns=_PIECE_NAMES)
+
+
+def _workbook_pieces(path: str, content: bytes, piece_bytes: int, slot_bytes: int) -> Iterator[tuple]:
     try:
         book = zipfile.ZipFile(io.BytesIO(content))
         parts = _sheet_parts(book)
-        decoder = _Decoder(book, missing)
+        optional = [book.read(n) if n in book.namelist() else None for n in ("xl/sharedStrings.xml", "xl/styles.xml")]
+        whole = book.read("xl/workbook.xml")
+        _Decoder(whole, None, optional[1])
     except Exception as error:
-        yield path, None, None, None, None, None, f"{type(error).__name__}: {error}"
+        yield path, 0, None, None, 0, None, None, None, None, None, f"{type(error).__name__}: {error}"
         return
+    size = max(slot_bytes, len(optional[0] or b""))
+    slot, filled = 0, size
     with book:
         for position, (sheet, part) in enumerate(parts, 1):
-            number = None
             try:
                 with book.open(part) as stream:
-                    for number, cells, kinds in decoder.rows(stream):
-                        yield path, position, sheet, number, cells, kinds, None
+                    for piece, (number, due, xml) in enumerate(_pieces(stream, piece_bytes)):
+                        if filled >= size:
+                            slot, filled = slot + 1, 0
+                            yield path, slot, 0, None, 0, None, None, whole, *optional, None
+                        filled += len(xml)
+                        yield path, slot, position, sheet, piece, number, due, xml, None, None, None
             except Exception as error:
                 # The other sheets go on; ``good_rows`` leaves this one out.
-                yield path, position, sheet, None, None, None, f"{type(error).__name__}: {error}"
-            else:
-                if number is None:
-                    yield path, position, sheet, None, None, None, None
+                yield path, slot, position, sheet, 0, None, None, None, None, None, f"{type(error).__name__}: {error}"
 
 
-def sheet_rows(files: DataFrame, missing: frozenset[str] = MISSING) -> DataFrame:
+ROWS_PER_BATCH = 10_000
+_ROW_NAMES = ["workbook", "position", "sheet", "row_no", "cells", "kinds", "error"]
+
+
+def _decode(pieces: Iterator[pd.DataFrame], missing: frozenset[str]) -> Iterator[pd.DataFrame]:
+    """Rows of pieces that come by workbook and slot, what a slot shares first; a workbook's shared parts
+    are read once per task."""
+    decoder, of = None, None
+    held: list[tuple] = []
+    for batch in pieces:
+        for piece in batch.itertuples(index=False):
+            if piece.position == 0:
+                if piece.workbook != of:
+                    of = piece.workbook
+                    try:
+                        decoder = _Decoder(piece.xml, piece.shared, piece.styles, missing)
+                    except Exception as error:
+                        decoder = error
+                continue
+            for row in _piece_rows(piece, decoder):
+                held.append(row)
+                if len(held) == ROWS_PER_BATCH:
+                    yield pd.DataFrame(held, columns=_ROW_NAMES)
+                    held = []
+    if held:
+        yield pd.DataFrame(held, columns=_ROW_NAMES)
+
+
+def _piece_rows(piece, decoder) -> Iterator[tuple]:
+    position = None if pd.isna(piece.position) else int(piece.position)
+    try:
+        if piece.error is not None:
+            yield piece.workbook, position, piece.sheet, None, None, None, piece.error
+        elif not piece.xml:
+            yield piece.workbook, position, piece.sheet, None, None, None, None
+        elif isinstance(decoder, Exception):
+            raise decoder
+        else:
+            for number, cells, kinds in decoder.rows(piece.xml, int(piece.number), int(piece.due)):
+                yield piece.workbook, position, piece.sheet, number, cells, kinds, None
+    except Exception as error:
+        yield piece.workbook, position, piece.sheet, None, None, None, f"{type(error).__name__}: {error}"
+
+
+def sheet_pieces(files: DataFrame, piece_bytes: int = PIECE_BYTES, slot_bytes: int = SLOT_BYTES) -> DataFrame:
+    """All sheets cut into pieces of whole rows and dealt out, by workbook and slot within a task.
+
+    The number of tasks is that of the session's shuffle partitions: decoding costs far more than
+    the size of the pieces tells, so they are not put together by size.
+    """
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = files.select("path", "content").mapInPandas(partial(_cut, piece_bytes=piece_bytes, slot_bytes=slot_bytes), PIECE_DDL)
+    return cut.repartition(tasks, "workbook", "slot").sortWithinPartitions("workbook", "slot", "position", "piece")
+
+
+def sheet_rows(
+    files: DataFrame, missing: frozenset[str] = MISSING, piece_bytes: int = PIECE_BYTES, slot_bytes: int = SLOT_BYTES
+) -> DataFrame:
     """Rows of all sheets, the header row included, and a row with ``error`` per failure.
 
     A sheet without rows gives one row without ``row_no``. Texts of ``missing`` are NULL below the
     header.
     """
-    return files.mapInPandas(partial(_read_sheets, missing=missing), ROW_DDL)
+    pieces = sheet_pieces(files, piece_bytes, slot_bytes)
+    return pieces.mapInPandas(partial(_decode, missing=missing), ROW_DDL)
 
 
 def good_rows(rows: DataFrame) -> DataFrame:
@@ -299,24 +467,25 @@ def _kind(i: int) -> Column:
     return F.when(_cell(i).isNotNull(), F.substring("kinds", i + 1, 1))
 
 
+def _cell_types(i: int) -> Column:
+    """What a cell can be read as, by its kind; NULL for an empty one."""
+    number = _cell(i).try_cast("double")
+    whole = number.isNull() | ((number == F.floor(number)) & (F.abs(number) < 2.0**63))
+    return (
+        F.when(_kind(i).isNull(), F.lit(None))
+        .when((_kind(i) == "n") & whole, fitting("bigint", "double"))
+        .when(_kind(i) == "n", fitting("double"))
+        .when(_kind(i) == "d", fitting("timestamp_ntz"))
+        .when(_kind(i) == "b", fitting("boolean"))
+        .otherwise(fitting())
+    )
+
+
 def sheet_types(body: DataFrame, width: int) -> list[str]:
     """Type of each column from the kinds of its cells; mixed and empty columns are text."""
-    facts = []
-    for i in range(width):
-        number = F.when(_kind(i) == "n", _cell(i).try_cast("double"))
-        whole = number.isNull() | ((number == F.floor(number)) & (F.abs(number) < 2.0**63))
-        facts += [F.min(_kind(i)), F.max(_kind(i)), F.bool_and(whole)]
-    found = body.agg(*[f.alias(f"f{i}") for i, f in enumerate(facts)]).first()
-    types = []
-    for i in range(width):
-        lowest, highest, whole = found[3 * i : 3 * i + 3]
-        if lowest != highest or lowest in (None, "s"):
-            types.append("string")
-        elif lowest == "n":
-            types.append("bigint" if whole else "double")
-        else:
-            types.append({"b": "boolean", "d": "timestamp_ntz"}[lowest])
-    return types
+    found = column_types(body, [(str(i), _cell_types(i)) for i in range(width)]).collect()
+    types = {r.column_name: r.inferred_type for r in found}
+    return [types[str(i)] for i in range(width)]
 
 
 def _typed(i: int, kind: str) -> Column:

@@ -45,6 +45,7 @@ SKIP, RESUME = 3, 4
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _SEEDS = "hash long, doc_id long, pos int"
+_MATCHES = "doc_id long, first_id long, pos int, first_pos int"
 _CHAINS = "doc_id long, first_id long, seeds binary, low int, high int, first_low int, first_high int"
 _PASSAGES = "doc_id long, start int, n_words int, first_id long, first_start int, first_words int, matched int"
 
@@ -305,23 +306,39 @@ def _aligned_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _PASSAGES.split(", ")])
 
 
-def matches(run: Run, docs: DataFrame) -> DataFrame:
-    """doc_id, pos, first_id, first_pos: each seed against the first document that has it.
-
-    The first ones are written before they are joined, so the join has exchanges of its own and Spark
-    splits the partition of a seed that very many documents have.
+def _match_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by hash, doc_id, pos: each but those of a hash's first document, with the first row."""
+    held = first_id = first_pos = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, doc, pos = (batch.column(c).to_numpy() for c in ("hash", "doc_id", "pos"))
+        fresh = np.concatenate(([key[0] != held], key[1:] != key[:-1]))
+        start = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), -1))
+        ids, places = doc[start], pos[start]
+        ids[start < 0], places[start < 0] = first_id or 0, first_pos or 0
+        held, first_id, first_pos = key[-1], ids[-1], places[-1]
+        some = np.nonzero(doc > ids)[0]
+        if len(some):
+            columns = [pa.array(x[some]) for x in (doc, ids, pos, places)]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _MATCHES.split(", ")])
+
+
+def matches(docs: DataFrame) -> DataFrame:
+    """doc_id, first_id, pos, first_pos: each seed against the first document that has it.
+
+    Seeds are extracted and shuffled once. What a seed's rows need of each other is the first of them
+    only, so a seed of very many documents streams past in its task, however many there are.
     """
     found = docs.mapInArrow(_seed_batches, _SEEDS)
-    firsts = found.groupBy("hash").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.max("doc_id").alias("last"))
-    firsts = firsts.where("first.doc_id < last").select("hash", F.col("first.doc_id").alias("first_id"), F.col("first.pos").alias("first_pos"))
-    return found.join(run.written(firsts, "firsts").hint("merge"), "hash").where("doc_id > first_id").select("doc_id", "first_id", "pos", "first_pos")
+    return found.repartition("hash").sortWithinPartitions("hash", "doc_id", "pos").mapInArrow(_match_batches, _MATCHES)
 
 
 def pieces(run: Run, docs: DataFrame) -> DataFrame:
     """Aligned stretches that a document shares with one of smaller doc_id, of MIN_PIECE words or more."""
     rows = plain_rows(docs).where("doc_id IS NOT NULL")
-    ordered = matches(run, rows).repartition("doc_id", "first_id").sortWithinPartitions("doc_id", "first_id", "pos", "first_pos")
-    found = run.written(ordered.mapInArrow(_chain_batches, _CHAINS).withColumn("chain", F.monotonically_increasing_id()), "chains")
+    ordered = matches(rows).repartition("doc_id", "first_id").sortWithinPartitions("doc_id", "first_id", "pos", "first_pos")
+    found = run.written(ordered.mapInArrow(_chain_batches, _CHAINS).withColumn("chain", F.monotonically_increasing_id()), "chains", free=True)
 
     # Words travel in tiles, each asked for once per document however many chains need it.
     tile = lambda c: F.floor(F.col(c) / TILE).cast("int")
@@ -332,7 +349,7 @@ def pieces(run: Run, docs: DataFrame) -> DataFrame:
     needs = found.select("chain", F.explode(sides).alias("s")).select("chain", "s.side", F.col("s.of").alias("doc_id"), F.explode(F.sequence("s.from", "s.to")).alias("tile"))
     asked = needs.groupBy("doc_id", "tile").agg(F.lit(1).alias("one")).groupBy("doc_id").agg(F.collect_list("tile").alias("tiles"))
     one = rows.join(asked.hint("merge"), "doc_id")
-    tiles = run.written(one.mapInArrow(_tile_batches, "doc_id long, tile int, words binary"), "tiles")
+    tiles = run.written(one.mapInArrow(_tile_batches, "doc_id long, tile int, words binary"), "tiles", free=True)
     tiles = tiles.groupBy("doc_id", "tile").agg(F.max("words").alias("words"))  # rows that repeat an id
     given = needs.join(tiles.hint("merge"), ["doc_id", "tile"]).groupBy("chain").agg(F.collect_list(F.struct("side", "tile", "words")).alias("tiles"))
     whole = found.join(given.hint("merge"), "chain").select("doc_id", "first_id", "seeds", "low", "first_low", "tiles")
@@ -351,7 +368,9 @@ def passages(run: Run, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
       within a document, and in rows that repeat a doc_id, are not looked for.
     * An empty table gives no rows; other columns are not read.
     """
-    found = run.written(pieces(run, docs), "pieces")
+    found = run.written(pieces(run, docs), "pieces", free=True)
+    run.drop("chains")
+    run.drop("tiles")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -415,7 +434,7 @@ def without_passages(run: Run, docs: DataFrame) -> DataFrame:
     n_chars is counted anew where there is such a column. A document with no word left is dropped;
     one that had none before stays, and so does, as it was, a text whose doc_id is NULL or repeated.
     """
-    found = run.written(passages(run, docs), "passages")
+    found = run.written(passages(run, docs), "passages", free=True)
     once = docs.groupBy("doc_id").count().where("count = 1").select("doc_id")
     spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words")).alias("spans")).join(once, "doc_id", "left_semi")
     rows = docs.select(F.struct("*").alias("row"), "doc_id")

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sources.tables import shared_folder
 
+#: Spark's setting that removes the shuffle files of a query when it ends.
+FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _LAST: dict[tuple[str, str], str] = {}
 
 
@@ -26,10 +29,23 @@ class Run:
             delete(spark, _LAST[key])
         _LAST[key] = self.folder
 
-    def written(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` written and read again: computed once, and not lost with an executor."""
+    def written(self, df: DataFrame, name: str, free: bool = False) -> DataFrame:
+        """``df`` written and read again: computed once, and not lost with an executor.
+
+        With ``free`` the shuffle files of the job go as soon as it is done, not when the driver happens
+        to collect garbage.
+        """
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(FREES_SHUFFLES, None)
+        if free:
+            self.spark.conf.set(FREES_SHUFFLES, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if free and before is None:
+                self.spark.conf.unset(FREES_SHUFFLES)
+            elif free:
+                self.spark.conf.set(FREES_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

@@ -196,3 +196,57 @@ def test_lm_scores_know_every_word(spark, monkeypatch):
         assert len(got) == len(texts)
         for i, (a, b) in enumerate(expected):
             assert (got[i].target_loss, got[i].background_loss) == ((None, None) if a is None else (pytest.approx(a, rel=1e-9), pytest.approx(b, rel=1e-9)))
+
+
+STORY = "<p>" + "The council met on Monday, and after a long debate it decided to build the bridge. " * 3 + "</p>"
+PLAIN = ("The council met on Monday, and after a long debate it decided to build the bridge. " * 3).strip()
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body><div id=story><h1>Bridge</h1>{STORY}{STORY}</div>" + "<article class=teaser><h3>Other</h3><p>Read it here.</p></article>" * 3, f"Bridge {PLAIN} {PLAIN}"),
+        (f"<body><div class=content>{STORY}</div><article class='comment'><p>I agree.</p></article>", PLAIN),
+        (f"<body><div class='content no-sidebar'>{STORY}</div>", PLAIN),
+        (f"<body><div class='related-work'>{STORY}</div><div class='social-science'>{STORY}</div><div class='related-posts'>{STORY}</div>", f"{PLAIN} {PLAIN}"),
+    ],
+)
+def test_ratios_decide_between_elements(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_ratios_against_brute_force():
+    """Means per path, smoothing, fusing and threshold, on pages of which no element is named."""
+    rng = random.Random(21)
+    for _ in range(60):
+        tags = ["".join(rng.choice("abcd") for _ in range(3)) for _ in range(rng.randrange(1, 7))]
+        nodes = [(rng.choice(tags), "x" * rng.randrange(1, 200) + "." * rng.randrange(4)) for _ in range(rng.randrange(1, 30))]
+        page = "".join(f"<x-{t}>{text}</x-{t}>" for t, text in nodes)
+        order = list(dict.fromkeys(t for t, _ in nodes))
+        of = {t: [text for u, text in nodes if u == t] for t in order}
+        mean = {t: (sum(map(len, of[t])) / len(of[t]), (1 + sum(x.count(".") for x in of[t])) / len(of[t])) for t in order}
+        value = {}
+        for i, t in enumerate(order):
+            near = [mean[u] for u in order[max(0, i - 1) : i] + order[i + 1 : i + 2]]
+            smooth = [(0.5 * mean[t][k] + 0.25 * sum(n[k] for n in near)) / (0.5 + 0.25 * len(near)) for k in (0, 1)]
+            value[t] = math.sqrt(smooth[0] * smooth[1])
+        length = {t: sum(map(len, of[t])) for t in order}
+        limit = html_text.THRESHOLD * sum(value[t] * length[t] for t in order) / sum(length.values())
+        chosen = [t for t in order if value[t] >= limit]
+        total = sum(length[t] for t in chosen)
+        bulk = [t for t in chosen if length[t] >= html_text.MOST * total]
+        expected = bulk or chosen
+        assert html_text.main_text(page) == " ".join(text for t, text in nodes if t in expected)
+
+
+def test_languages_without_a_cap_and_letters(spark):
+    """More languages than any list has, two of them with two labelled rows, and texts without letters."""
+    rows = [(i, " ".join(chr(0x4E00 + 40 * (i % 201) + k) * 3 for k in range(20)), f"l{i % 201:03d}") for i in range(201 * 6)]
+    rows += [(10_000 + i, "zq zq zq " * 20, "rare") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few = docs.where("lang <> 'rare' OR doc_id < 10004")
+    model = language_id.fit(few)
+    assert len(model.languages) == 202
+    got = [model.predict(text)[0] == lang for _, text, lang in rows[:402]]
+    assert sum(got) >= 0.95 * len(got) and model.predict("zq zq zq zq")[0] == "rare"
+    assert [model.predict(x)[0] for x in ("½ ²", "①", "1_2", "\u0301")] == ["und"] * 4 and model.predict("ª")[0] != "und"

@@ -2,8 +2,9 @@
 
 The text nodes of a page are grouped by their path of tags from the root. Per path, the mean length
 of its nodes and their mean number of punctuation marks are taken, both are smoothed along the order
-in which paths first appear, and multiplied. Paths above a threshold hold the content. Blocks below
-the element that encloses them are the article, titles and short lines included.
+in which paths first appear, and multiplied; paths in an article or main element get a bonus. Paths
+above a threshold hold the content. Most of it decides which element is the article: its blocks are
+the text, titles and short lines included.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ INLINE = {
     "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img",
 }
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar", "form"}
-# Words of class and id that name what is not the article.
+# Names in class and id of what is not the article: alone, at the end of a compound without a word of
+# the third list, or in one with names of the second list only. Other compounds, as no-sidebar or
+# related-work, say nothing.
 NAMES = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "sponsor", "sponsored", "promo", "promotion",
     "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "aside", "footer", "masthead", "topbar", "toolbar",
@@ -37,6 +40,12 @@ NAMES = {
     "newsletter", "subscribe", "signup", "login", "search", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "popup",
     "modal", "overlay", "pagination", "pager", "widget", "copyright", "hidden",
 }
+PARTS = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "content", "form", "global", "group", "header",
+    "heading", "icons", "inner", "item", "items", "left", "link", "links", "list", "main", "media", "page", "panel", "post", "posts", "primary",
+    "right", "row", "section", "secondary", "site", "slot", "text", "title", "top", "unit", "wrap", "wrapper",
+}
+LAYOUT = {"no", "not", "non", "has", "have", "with", "without", "hide", "show", "is", "one", "two"}
 # An opening tag of the first kind ends an open element of the second.
 CLOSES = {
     **dict.fromkeys(
@@ -52,8 +61,13 @@ FENCES = {"html", "body", "table", "article", "section", "div", "ul", "ol", "dl"
 
 #: Shares of the fused value that a path gets from itself and its neighbours in page order.
 SMOOTHING = (0.5, 0.25)
+#: What the value of a path in an article or main element is multiplied by.
+BONUS = 1.5
 #: A path holds content from this part of the page's weighted mean value on.
 THRESHOLD = 0.35
+#: Share of the chosen text that makes an element of the body the one around it.
+MOST = 0.8
+ROOTS = ("", "html", "body")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -72,6 +86,13 @@ class Path:
         self.main: bool = tag == "main" or bool(parent and parent.main)
         self.below: dict[str, Path] = {}
 
+    def upto(self, depth: int) -> Path:
+        """The path itself or the beginning of it of that depth."""
+        path = self
+        while path.depth > depth:
+            path = path.parent
+        return path
+
     def child(self, tag: str) -> Path:
         if tag not in self.below:
             self.below[tag] = Path(self, tag)
@@ -102,7 +123,7 @@ def _beside(tag: str, attributes: str, within: Element) -> bool:
         return True
     if tag == "header" and not (within.path.article or within.path.main):
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", "main"):
         return False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
@@ -110,11 +131,17 @@ def _beside(tag: str, attributes: str, within: Element) -> bool:
             return True
         if name == "role" and value in ROLES or name == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if name in ("class", "id") and NAMES & set(_NAME.findall(value)):
+        if name in ("class", "id") and any(map(_names_other, value.split())):
             return True
     return False
 
 
+def _names_other(name: str) -> bool:
+    """Whether a name of class or id means something that is not the article."""
+    parts = _NAME.findall(name)
+    return not NAMES.isdisjoint(parts) and (NAMES | PARTS).issuperset(parts) or bool(parts) and parts[-1] in NAMES and LAYOUT.isdisjoint(parts)
+
+
 def blocks(page: str) -> list[Block]:
     """The page's blocks in order, without what is never the article."""
     root = Element("", None, False, Path())
@@ -200,18 +227,29 @@ def _values(found: list[Block]) -> tuple[dict[Path, float], dict[Path, int]]:
 def main_text(page: str | None) -> str:
     """The article of one page; empty where there is none."""
     found = blocks(page or "")
-    # Where the page names its article, only that can hold the content.
-    found = [b for b in found if b.path.article] or [b for b in found if b.path.main] or found
     if not found:
         return ""
     values, lengths = _values(found)
+    values = {p: v * BONUS if p.article or p.main else v for p, v in values.items()}
     mean = sum(values[p] * n for p, n in lengths.items()) / sum(lengths.values())
     content = {p for p, v in values.items() if v >= THRESHOLD * mean}
+    mass = sum(lengths[p] for p in content)
+    for named in (lambda p: p.article, lambda p: p.main):
+        if 2 * sum(lengths[p] for p in content if named(p)) >= mass:
+            return " ".join(b.text for b in found if named(b.path))
     # The element around the chosen text; not the whole body, where other things stand as well.
     around = reduce(_common, content)
     while around.tag in INLINE | {"p", "li"}:
         around = around.parent
-    if around.tag not in ("", "html", "body"):
+    while around.tag in ROOTS:  # what is chosen beside the bulk of it is left out
+        below = Counter()
+        for p in content:
+            below[p.upto(around.depth + 1)] += lengths[p]
+        child, held = below.most_common(1)[0]
+        if held < MOST * mass or child is around or child.tag in INLINE | {"p", "li"}:
+            break
+        around = child
+    if around.tag not in ROOTS:
         content = {p for p in values if _common(p, around) is around}
     return " ".join(b.text for b in found if b.path in content)
 
@@ -229,7 +267,8 @@ def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars (code points), one row per row of ``pages``.
 
     * NULL or empty html, and pages of which nothing is the article, have the empty text.
-    * Of a page that names an article or main element only the text in it is considered.
+    * Where half of the chosen text or more stands in article elements, their text is the article, else
+      the same of main elements, else that of the innermost element around the chosen text.
     * Broken markup: an element ends where one that cannot stand in it begins; tags left open end with
       the page, and an end tag without a beginning is passed over.
     * A line break is white space. Any length; nothing but the named parts is left out.

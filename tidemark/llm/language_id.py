@@ -8,22 +8,22 @@ most of them to zero, and a temperature fitted to rows kept apart makes the scor
 
 from __future__ import annotations
 
-import re
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.byte_bpe import plain_rows, text_batches
 
 #: Slots of the hashed features.
 SLOTS = 1 << 15
-#: Rows of each language that the weights are fitted to, about; every fifth of them sets the temperature.
-PER_LANGUAGE = 1000
-#: Languages at most; with more, the most frequent in the rows to learn from.
-LANGUAGES = 200
+#: Rows of each language that the weights are fitted to, about; every fifth of them sets the temperature,
+#: where a language has so many that enough are left to learn it from.
+PER_LANGUAGE, ENOUGH = 1000, 20
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 1e-4, 1e-4
 CALIBRATION = 5
@@ -31,7 +31,7 @@ CALIBRATION = 5
 PART = 1 << 20
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _SALTS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
@@ -152,7 +152,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = known.groupBy("lang").count().collect()  # as the weights, one column per language
     languages = sorted(r.lang for r in sizes)
     found = known.select("doc_id", "text").mapInArrow(_frequencies, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     frequency = np.zeros(SLOTS + 1)
@@ -162,17 +162,16 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
         return Model([], idf, np.zeros((SLOTS, 0), np.float32), np.zeros(0, np.float32))
 
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).cast("double") / float(1 << 30)
-    wanted = F.lit(False)
-    for r in sizes:
-        wanted = wanted | ((F.col("lang") == r.lang) & (share < per_language / r["count"]))
-    sample = known.where(wanted).select("lang", "doc_id", "text").mapInArrow(_features, "lang string, doc_id long, slots binary, values binary").toPandas()
+    shares = F.from_json(F.lit(json.dumps({r.lang: per_language / r["count"] for r in sizes})), "map<string, double>")
+    sample = known.where(share < F.element_at(shares, F.col("lang"))).select("lang", "doc_id", "text").mapInArrow(_features, "lang string, doc_id long, slots binary, values binary").toPandas()
     number = {name: i for i, name in enumerate(languages)}
+    taken = sample["lang"].value_counts()
     fitted, apart = [], []
     for row in sample.sort_values(["doc_id", "lang"], kind="stable").itertuples():
         slots = np.frombuffer(row.slots, "<i4")
         x = np.frombuffer(row.values, "<f4") * idf[slots]
         entry = (number[row.lang], slots, x / (np.linalg.norm(x) or 1.0))
-        (apart if _mixed(row.doc_id) % CALIBRATION == 0 else fitted).append(entry)
+        (apart if taken[row.lang] >= ENOUGH and _mixed(row.doc_id) % CALIBRATION == 0 else fitted).append(entry)
     order = np.random.default_rng(0).permutation(len(fitted))
     weights, bias = fit_weights([fitted[i] for i in order], len(languages))
     model = Model(languages, idf, weights, bias)

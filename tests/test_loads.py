@@ -1,6 +1,6 @@
 """Loads against catalog tables."""
 
-from dataclasses import astuple
+from dataclasses import astuple, replace
 from datetime import date, datetime
 from pathlib import Path
 from types import SimpleNamespace
@@ -228,6 +228,27 @@ def test_shuffled_joins_load_the_same(spark):
     assert found[0][0] == [(20, 0), (10, 7)]
 
 
+def test_buckets_spare_the_table_a_shuffle(spark):
+    """Equal rows with and without buckets, by both joins, and a plan that shuffles the increment only."""
+    first = [sale(k, f"2024-0{1 + k % 3}-05") for k in range(40)]
+    second = [sale(k, f"2024-0{1 + k % 4}-05", 10.0 + k % 3) for k in range(20, 60)]
+    found = []
+    for buckets in (0, 4):
+        for bounds in ({}, {"broadcast_keys": 0, "broadcast_bytes": 0}):
+            spec = replace(DEV["Sales"], buckets=buckets)
+            spark.sql("DROP TABLE IF EXISTS dev_data.Sales")
+            counts = []
+            for rows in (first, second):
+                put_raw(spark, "Sales", rows)
+                counts.append(loads.load_fact(spark, spec, as_of=AS_OF, lookback_days=400, **bounds))
+            found.append((counts, sales(spark)))
+    assert found[0] == found[1] == found[2] == found[3] and found[0][0][1][1] > 0
+    assert [t.name for t in spark.catalog.listTables("dev_data") if t.name.startswith("load_")] == []
+    rows = tables.staged(tables.table_rows(spark, spec), "increment")
+    plan = loads._effects(spark.table("dev_data.Sales"), rows, spec, False)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 2, plan
+
+
 def test_memory_size_counts_texts(spark):
     rows = spark.sql("SELECT repeat('x', 1000) AS a, CAST(NULL AS STRING) AS b, 1L AS c FROM range(50)")
     assert rows.agg(tables.total_size(rows)).first()[0] == 50 * (1000 + 3 * 16)

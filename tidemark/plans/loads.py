@@ -214,14 +214,16 @@ def _upsert(
         changed = effects.where(~F.col(ADDS)).select(quoted(spec.key)).distinct()
         changed = F.broadcast(changed) if n_updated <= broadcast_keys else changed
         updates = rows.join(changed, spec.key, "left_semi")
-        if size <= broadcast_bytes:
-            # The rewritten rows stay in the tasks that read them, month by month.
-            kept = tables.with_month(upsert.updated(part, F.broadcast(updates), spec), spec)
+        small = size <= broadcast_bytes
+        kept = tables.with_month(upsert.updated(part, F.broadcast(updates) if small else updates, spec), spec)
+        if spec.buckets:
+            files = tables.spread(kept.unionByName(new), spec)
         else:
-            kept = tables.by_month(upsert.updated(part, updates, spec), spec)
-        commits.change_months(kept.unionByName(new.hint("rebalance", MONTH)), spec, rewritten)
+            # With a broadcast the rewritten rows stay in the tasks that read them, month by month.
+            files = (kept if small else tables.spread(kept, spec)).unionByName(tables.spread(new, spec))
+        commits.change_months(files, spec, rewritten)
     else:
-        commits.change_months(new.hint("rebalance", MONTH), spec)
+        commits.change_months(tables.spread(new, spec), spec)
     return n_inserted, n_updated
 
 
@@ -237,11 +239,12 @@ def _effects(table: DataFrame, rows: DataFrame, spec: TableSpec, broadcast: bool
     increment row with the month the target row is in.
 
     The target is first reduced to key and compared columns of the increment's keys. Up to a
-    checked number of keys that takes a broadcast, and the target's rows are not shuffled.
+    checked number of keys that takes a broadcast, and the target's rows are not shuffled. Beyond it
+    they are not either where the table is stored in buckets.
     """
     compared = [spec.key, *spec.compare, *spec.compare_null_safe]
     keys = rows.select(quoted(spec.key))
-    held = table.select(*map(quoted, compared), MONTH).join(F.broadcast(keys) if broadcast else keys, spec.key, "left_semi")
+    held = table.select(*map(quoted, compared), MONTH).join(F.broadcast(keys) if broadcast else keys.hint("merge"), spec.key, "left_semi")
     adds = quoted(spec.key, "t").isNull()
     return (
         rows.alias("s")

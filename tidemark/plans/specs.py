@@ -41,6 +41,10 @@ class TableSpec:
     compare: tuple[str, ...] = ()
     compare_null_safe: tuple[str, ...] = ()
     never_updated: tuple[str, ...] = ()
+    # facts only: files of a month are dealt by key into so many buckets, so that an increment too
+    # large for a broadcast is shuffled alone and not the table; a reader has one task per bucket.
+    # None by default, and fixed once a table is made.
+    buckets: int = 0
     # source column -> target column, where they differ
     renames: dict[str, str] = field(default_factory=dict)
     # target column -> expression over the source, given the time of the run

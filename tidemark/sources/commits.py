@@ -107,6 +107,7 @@ def settle(spark: SparkSession, spec) -> None:
         if name.endswith(INTENT):
             _finish(spark, spec, loads, load)
         elif name.endswith(WRITING):
+            tables.drop_helper(spark, spec, load)
             if f"{load}{INTENT}" not in names:
                 _delete(spark, f"{loads}/{load}")
             _delete(spark, f"{loads}/{name}")
@@ -126,7 +127,7 @@ def change_months(rows: DataFrame, spec, replaced: Iterable[date] = ()) -> None:
     loads, load = _loads(spark, spec), uuid.uuid4().hex
     folder = f"{loads}/{load}"
     _put(spark, f"{folder}{WRITING}")
-    rows.write.partitionBy(MONTH).parquet(folder)
+    tables.write_months(rows, spec, folder, load)
     held = {str(m) for m in tables.partition_values(spark, spec.full_name)}
     replaced = {str(m) for m in replaced}
     written = {n.split("=", 1)[1] for n in _names(spark, folder) if n.startswith(f"{MONTH}=")}

@@ -111,15 +111,53 @@ def create_if_missing(spark: SparkSession, spec) -> None:
     VARCHAR(n) is declared as such, so Spark refuses longer text on every write.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {ident(spec.schema_name)}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {ident(spec.full_name)} {_layout(spec)}")
+
+
+def _layout(spec) -> str:
     columns = [f"`{c.name}` {c.type}" for c in spec.columns]
     stored_by = ""
     if spec.is_fact:
         columns.append(f"{MONTH} DATE")
         stored_by = f"{REPLACE_BY_PARTITION} PARTITIONED BY ({MONTH})"
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {ident(spec.full_name)} ({', '.join(columns)}) "
-        f"USING parquet {stored_by}"
-    )
+        if spec.buckets:
+            stored_by += f" CLUSTERED BY (`{spec.key}`) INTO {spec.buckets} BUCKETS"
+    return f"({', '.join(columns)}) USING parquet {stored_by}"
+
+
+def write_months(rows: DataFrame, spec, folder: str, name: str) -> None:
+    """Rows (with their month) as files of a fact, in a folder of their own.
+
+    Only a table can be written in buckets: one that points to the folder, and leaves its files there
+    when it is dropped.
+    """
+    if not spec.buckets:
+        rows.write.partitionBy(MONTH).parquet(folder)
+        return
+    spark = rows.sparkSession
+    drop_helper(spark, spec, name)
+    spark.sql(f"CREATE TABLE {_helper(spec, name)} {_layout(spec)} LOCATION '{folder}'")
+    try:
+        rows.select(*map(quoted, [*spec.names, MONTH])).write.insertInto(_helper(spec, name))
+    finally:
+        drop_helper(spark, spec, name)
+
+
+def _helper(spec, name: str) -> str:
+    return ident(f"{spec.schema_name}.load_{name}")
+
+
+def drop_helper(spark: SparkSession, spec, name: str) -> None:
+    if spec.buckets:
+        spark.sql(f"DROP TABLE IF EXISTS {_helper(spec, name)}")
+
+
+def spread(rows: DataFrame, spec) -> DataFrame:
+    """Rows (with their month) dealt out to be written: by bucket, or by month with the sizes known at
+    run time, so that a month holding most of the rows is written by many tasks and small ones share one."""
+    if spec.buckets:
+        return rows.repartition(spec.buckets, quoted(spec.key))
+    return rows.hint("rebalance", MONTH)
 
 
 def table_rows(spark: SparkSession, spec) -> DataFrame:
@@ -202,11 +240,7 @@ def with_month(df: DataFrame, spec) -> DataFrame:
 
 
 def by_month(df: DataFrame, spec) -> DataFrame:
-    """Rows spread by month with the sizes known at run time, to write few files.
-
-    A month holding most of the rows is written by many tasks and small months share one.
-    """
-    return with_month(df, spec).hint("rebalance", MONTH)
+    return spread(with_month(df, spec), spec)
 
 
 def append_months(rows: DataFrame, spec) -> None:

@@ -101,7 +101,7 @@ class ByteBPE(Encoder):
             (self.first, "", {x[0] for x in cut}),
             (self.later, " ", set(chain.from_iterable([x[1:] for x in cut]))),
         ):
-            new = [x for x in wanted if x not in known]
+            new = known.unknown(wanted)
             matches = [self.pattern.findall(before + x) for x in new]
             words = list({w for m in matches for w in m})
             ids = dict(zip(words, self.merged([w.encode() for w in words])))

@@ -13,13 +13,15 @@ import sys
 from array import array
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Pieces, and words, that a worker remembers before it starts anew: about 150 MB together.
-REMEMBERED = 350_000
+#: Pieces, and words, that a worker remembers. Half of them are set aside when that many are new, and
+#: forgotten with the next half unless they are met again, so frequent ones stay.
+REMEMBERED = 1_200_000
 
 _DOUBTFUL = re.compile(r" \s|\s ")
 _BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
@@ -27,9 +29,18 @@ _BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
 _PLAIN = re.compile(r"[\n!-~À-įı-ňŊ-ž]*")
 
 
+# White space other than the space and the line feed; looking for each is faster than a pattern is.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+
+
+def _is_doubtful(text: str) -> bool:
+    """Whether a space may stand next to other white space."""
+    return "  " in text or " \n" in text or "\n " in text or any([c in text for c in _OTHER_SPACE])
+
+
 def pieces(text: str) -> list[str]:
     """The text cut before single spaces, which are left out: all but the first piece began with one."""
-    if _DOUBTFUL.search(text):
+    if _is_doubtful(text) and _DOUBTFUL.search(text):
         first, *rest = _BOUNDARY.split(text)
         return [first, *(x[1:] for x in rest)]
     return text.split(" ")
@@ -40,11 +51,22 @@ class _Known(dict):
 
     def __init__(self, encode):
         self.encode = encode
+        self.aside: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        out = self[piece] = self.encode(piece)
+        out = self.aside.get(piece)
+        if out is None:
+            out = self.encode(piece)
+        self[piece] = out
         return out
 
+    def unknown(self, some: set[str]) -> list[str]:
+        return [p for p in some.difference(self) if p not in self.aside]
+
+    def age(self) -> None:
+        self.aside = dict(self)
+        self.clear()
+
 
 class Encoder:
     """Ids of whole texts, as little-endian unsigned 32-bit integers, by ids of pieces."""
@@ -63,9 +85,9 @@ class Encoder:
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """The ids of each text. Texts of one call are cut together, so give a batch, not a table."""
         cut = [pieces(x) for x in texts]
-        if len(self.first) + len(self.later) > REMEMBERED:
-            self.first.clear()
-            self.later.clear()
+        if len(self.first) + len(self.later) > REMEMBERED // 2:
+            self.first.age()
+            self.later.age()
         self.learn(cut)
         first, later = self.first, self.later.__getitem__
         return [first[x[0]] + b"".join(map(later, x[1:])) for x in cut]
@@ -100,6 +122,7 @@ class LibraryEncoder(Encoder):
         with open(path, encoding="utf-8") as file:
             kind = json.load(file)
         self.vocabulary = self.tokenizer.get_vocab_size()
+        self.model = self.tokenizer.model
         self.lower = False
         before, steps = kind["pre_tokenizer"] or {}, (kind["normalizer"] or {}).get("normalizers", [])
         self.known = kind["model"]["type"] == "BPE" and kind["post_processor"] is None
@@ -115,6 +138,28 @@ class LibraryEncoder(Encoder):
         else:
             self.known = False
 
+    def learn(self, cut: list[list[str]]) -> None:
+        """All new pieces of a batch are split together, and each distinct word of them encoded once.
+
+        Words come in order and their lengths tell which piece they are of; where they do not add up,
+        the pieces are left to be encoded alone.
+        """
+        new = self.later.unknown(set(chain.from_iterable([x[1:] for x in cut])))
+        new = [p for p in new if p and p[0] != "\n" != p[-1] and _PLAIN.fullmatch(p)]
+        if not new:
+            return
+        if len(self.words) > REMEMBERED // 2:
+            self.words.age()
+        text = " " + " ".join(new)
+        words = self.pattern.findall(text.lower() if self.lower else text)
+        places = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        ends = np.cumsum([len(p) - p.count("\n") for p in new] if self.lower else [len(p) + 1 for p in new])
+        after = np.searchsorted(places, ends) + 1
+        if after[-1] != len(words) or (places[after - 1] != ends).any():
+            return
+        codes, stops = list(map(self.words.__getitem__, words)), after.tolist()
+        self.later.update(zip(new, [b"".join(codes[i:j]) for i, j in zip([0, *stops], stops)]))
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         if self.known:
             return super().encode(texts)
@@ -123,12 +168,16 @@ class LibraryEncoder(Encoder):
     def piece(self, piece: str) -> bytes:
         if not _PLAIN.fullmatch(piece, 1 if piece[:1] == " " else 0):
             return _packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
+        if len(self.words) > REMEMBERED // 2:
+            self.words.age()
         return b"".join(map(self.words.__getitem__, self.pattern.findall(piece.lower() if self.lower else piece)))
 
     def word(self, word: str) -> bytes:
-        return _packed([t.id for t in self.tokenizer.model.tokenize(byte_chars(word))])
+        if word[1:].isalnum() and word.isascii() and word[0] != "\n":  # as it is shown, but for a space before it
+            shown = _BYTE_CHARS[32] + word[1:] if word[0] == " " else word
+        else:
+            shown = byte_chars(word)
+        return _packed([t.id for t in self.model.tokenize(shown)])
 
 
 def _packed(ids: list[int]) -> bytes:

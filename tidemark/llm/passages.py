@@ -278,28 +278,37 @@ def aligned(a: np.ndarray, b: np.ndarray, x: list[int], y: list[int]) -> list[tu
 
 
 def _tile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The word hashes of each document in tiles."""
     for batch in batches:
-        for doc_id, text, tiles in zip(*(batch.column(c) for c in ("doc_id", "text", "tiles"))):
-            raw = word_hashes(words(text.as_py())).astype("<u4")
-            wanted = sorted(tiles.as_py())
-            cut = [raw[TILE * t : TILE * (t + 1)].tobytes() for t in wanted]
-            yield pa.RecordBatch.from_arrays([pa.array([doc_id.as_py()] * len(wanted), pa.int64()), pa.array(wanted, pa.int32()), pa.array(cut, pa.binary())], ["doc_id", "tile", "words"])
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            ids, numbers, cut = [], [], []
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text")):
+                raw = word_hashes(words(text.as_py())).astype("<u4").tobytes()
+                tiles = [raw[i : i + 4 * TILE] for i in range(0, len(raw), 4 * TILE)]
+                ids += [doc_id] * len(tiles)
+                numbers += range(len(tiles))
+                cut += tiles
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(cut, pa.binary())], ["doc_id", "tile", "words"])
 
 
 def _aligned_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("doc_id", "first_id", "seeds", "low", "first_low", "tiles")
+    """Passages of a document per row: all its chains, and each tile they lie in once."""
     for batch in batches:
         out = []
-        for doc_id, first_id, raw, low, first_low, tiles in zip(*(batch.column(c).to_pylist() for c in names)):
-            sides = []
-            for side in (0, 1):
-                mine = sorted((t["tile"], t["words"]) for t in tiles if t["side"] == side)
-                sides.append((TILE * mine[0][0], np.frombuffer(b"".join(w for _, w in mine), "<u4")) if mine else (0, np.zeros(0, "<u4")))
-            (base, a), (first_base, b) = sides
-            x, y = np.frombuffer(raw, "<i4").reshape(2, -1)
-            for i, j, first_i, first_j, same in aligned(a, b, (x - base).tolist(), (y - first_base).tolist()):
-                if j - i >= MIN_PIECE and same >= SIMILARITY * max(j - i, first_j - first_i):
-                    out.append((doc_id, i + base, j - i, first_id, first_i + first_base, first_j - first_i, same))
+        for doc_id, some, tiles in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "chains", "tiles"))):
+            held = {(t["of"], t["tile"]): t["words"] for t in tiles}
+
+            def cut(of: int, low: int, high: int) -> tuple[int, np.ndarray]:
+                numbers = [n for n in range(low // TILE, high // TILE + 1) if (of, n) in held]
+                return TILE * numbers[0] if numbers else 0, np.frombuffer(b"".join([held[of, n] for n in numbers]), "<u4")
+
+            for c in some:
+                (base, a), (first_base, b) = cut(doc_id, c["low"], c["high"]), cut(c["first_id"], c["first_low"], c["first_high"])
+                x, y = np.frombuffer(c["seeds"], "<i4").reshape(2, -1)
+                for i, j, first_i, first_j, same in aligned(a, b, (x - base).tolist(), (y - first_base).tolist()):
+                    if j - i >= MIN_PIECE and same >= SIMILARITY * max(j - i, first_j - first_i):
+                        out.append((doc_id, i + base, j - i, c["first_id"], first_i + first_base, first_j - first_i, same))
         if out:
             kinds = [x.split()[1] for x in _PASSAGES.split(", ")]
             columns = [pa.array(c, pa.int64() if k == "long" else pa.int32()) for c, k in zip(zip(*out), kinds)]
@@ -338,22 +347,21 @@ def pieces(run: Run, docs: DataFrame) -> DataFrame:
     """Aligned stretches that a document shares with one of smaller doc_id, of MIN_PIECE words or more."""
     rows = plain_rows(docs).where("doc_id IS NOT NULL")
     ordered = matches(rows).repartition("doc_id", "first_id").sortWithinPartitions("doc_id", "first_id", "pos", "first_pos")
-    found = run.written(ordered.mapInArrow(_chain_batches, _CHAINS).withColumn("chain", F.monotonically_increasing_id()), "chains", free=True)
+    found = run.written(ordered.mapInArrow(_chain_batches, _CHAINS), "chains", free=True)
 
-    # Words travel in tiles, each asked for once per document however many chains need it.
+    # Words travel in tiles, and each to a document once, however many of its chains lie in it. All tiles
+    # are shuffled once; to choose those that are needed first would take a shuffle of the texts.
     tile = lambda c: F.floor(F.col(c) / TILE).cast("int")
     sides = F.array(
-        F.struct(F.lit(0).alias("side"), F.col("doc_id").alias("of"), tile("low").alias("from"), tile("high").alias("to")),
-        F.struct(F.lit(1).alias("side"), F.col("first_id").alias("of"), tile("first_low").alias("from"), tile("first_high").alias("to")),
+        F.struct(F.col("doc_id").alias("of"), tile("low").alias("from"), tile("high").alias("to")),
+        F.struct(F.col("first_id").alias("of"), tile("first_low").alias("from"), tile("first_high").alias("to")),
     )
-    needs = found.select("chain", F.explode(sides).alias("s")).select("chain", "s.side", F.col("s.of").alias("doc_id"), F.explode(F.sequence("s.from", "s.to")).alias("tile"))
-    asked = needs.groupBy("doc_id", "tile").agg(F.lit(1).alias("one")).groupBy("doc_id").agg(F.collect_list("tile").alias("tiles"))
-    one = rows.join(asked.hint("merge"), "doc_id")
-    tiles = run.written(one.mapInArrow(_tile_batches, "doc_id long, tile int, words binary"), "tiles", free=True)
-    tiles = tiles.groupBy("doc_id", "tile").agg(F.max("words").alias("words"))  # rows that repeat an id
-    given = needs.join(tiles.hint("merge"), ["doc_id", "tile"]).groupBy("chain").agg(F.collect_list(F.struct("side", "tile", "words")).alias("tiles"))
-    whole = found.join(given.hint("merge"), "chain").select("doc_id", "first_id", "seeds", "low", "first_low", "tiles")
-    return whole.mapInArrow(_aligned_batches, _PASSAGES)
+    needs = found.select("doc_id", F.explode(sides).alias("s")).select("doc_id", "s.of", F.explode(F.sequence("s.from", "s.to")).alias("tile")).distinct()
+    tiles = rows.mapInArrow(_tile_batches, "doc_id long, tile int, words binary")
+    tiles = tiles.groupBy(F.col("doc_id").alias("of"), "tile").agg(F.max("words").alias("words"))  # rows that repeat an id
+    given = needs.join(tiles.hint("merge"), ["of", "tile"]).groupBy("doc_id").agg(F.collect_list(F.struct("of", "tile", "words")).alias("tiles"))
+    chains_of = found.groupBy("doc_id").agg(F.collect_list(F.struct("first_id", "seeds", "low", "high", "first_low", "first_high")).alias("chains"))
+    return chains_of.join(given.hint("merge"), "doc_id").mapInArrow(_aligned_batches, _PASSAGES)
 
 
 def passages(run: Run, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -370,7 +378,6 @@ def passages(run: Run, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     """
     found = run.written(pieces(run, docs), "pieces", free=True)
     run.drop("chains")
-    run.drop("tiles")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

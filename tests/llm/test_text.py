@@ -135,24 +135,26 @@ def brute_losses(texts, targets, size):
     total = Counter(w for t in texts for w in (t or "").split())
     kept = {w: i for i, (w, _) in enumerate(sorted(total.items(), key=lambda x: (-x[1], x[0].encode()))[: size - 2], 2)}
 
-    def model(some):
-        pairs = Counter()
+    def counts(some):
+        pairs, after, of = Counter(), Counter(), Counter()
         for t in some:
             ids = [lm_score.START, *(kept.get(w, 0) for w in (t or "").split())]
             pairs.update(zip(ids, ids[1:]))
-        after, of = Counter(), Counter()
-        for (a, b), n in pairs.items():
-            after[a] += n
-            of[b] += n
-        mass = {w: 1e-9 if w == lm_score.START else of[w] + 1.0 for w in range(size)}
-        all_mass = sum(mass.values())
-        return lambda a, b: -math.log((pairs[a, b] + lm_score.PRIOR * mass[b] / all_mass) / (after[a] + lm_score.PRIOR))
-
-    models = model([texts[i] for i in targets]), model(texts)
+            after.update(ids[:-1])
+            of.update(ids[1:])
+        return pairs, after, of
+
+    models = counts([texts[i] for i in targets]), counts(texts)
     out = []
-    for t in texts:
-        ids = [lm_score.START, *(kept.get(w, 0) for w in (t or "").split())]
-        out.append([sum(m(a, b) for a, b in zip(ids, ids[1:])) / (len(ids) - 1) if len(ids) > 1 else None for m in models])
+    for i, t in enumerate(texts):
+        own, losses = counts([t]), []
+        for model, inside in zip(models, (i in targets, True)):
+            # What the other texts hold, and one for each word.
+            pairs, after, of = (m - o if inside else m for m, o in zip(model, own))
+            mass = sum(of.values()) + size - 1 + 1e-9
+            losses.append(sum(-n * math.log((pairs[a, b] + lm_score.PRIOR * (of[b] + 1) / mass) / (after[a] + lm_score.PRIOR)) for (a, b), n in own[0].items()))
+        words = sum(own[2].values())
+        out.append([x / words if words else None for x in losses])
     return out
 
 
@@ -190,14 +192,29 @@ def test_lm_scores_know_every_word(spark, monkeypatch):
     distinct = len({w for t in texts for w in (t or "").split()})
     assert distinct > 4096
     expected = brute_losses(texts, targets, distinct + 2)
-    for most in (lm_score.BROADCAST_IDS, 0):
+    # The last one: pairs that 5 texts may hold are counted in several tasks.
+    for most, split in ((lm_score.BROADCAST_IDS, lm_score.SPLIT), (0, lm_score.SPLIT), (0, 5)):
         monkeypatch.setattr(lm_score, "BROADCAST_IDS", most)
+        monkeypatch.setattr(lm_score, "SPLIT", split)
         got = {r.doc_id: r for r in lm_score.scored(Run(spark, "test9"), docs, target).collect()}
         assert len(got) == len(texts)
         for i, (a, b) in enumerate(expected):
             assert (got[i].target_loss, got[i].background_loss) == ((None, None) if a is None else (pytest.approx(a, rel=1e-9), pytest.approx(b, rel=1e-9)))
 
 
+def test_lm_scores_of_members(spark):
+    """Documents of the target score as equally written ones outside it do, others higher; copies know each other."""
+    rng = random.Random(9)
+    ways = [[f"{c}{i}" for i in range(400)] for c in "ab"]
+    texts = [" ".join(rng.choice(ways[i % 2][: rng.choice((20, 400))]) for _ in range(60)) for i in range(400)]
+    texts += [" ".join(f"own{i} {j}" for j in range(30)) for i in (1, 2, 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in lm_score.scored(Run(spark, "test9"), docs, docs.where("doc_id < 400 AND doc_id % 4 = 0")).collect()}
+    inside, outside, other = (np.mean([got[i].score for i in range(400) if i % 4 == k]) for k in (0, 2, 1))
+    assert abs(inside - outside) < 0.05 and other - outside > 1
+    assert got[401].background_loss == got[402].background_loss < got[400].background_loss - 1
+
+
 STORY = "<p>" + "The council met on Monday, and after a long debate it decided to build the bridge. " * 3 + "</p>"
 PLAIN = ("The council met on Monday, and after a long debate it decided to build the bridge. " * 3).strip()
 

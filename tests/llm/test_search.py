@@ -30,12 +30,27 @@ def test_recall(spark, sf):
     assert len(got) == 10 * len(expected)
     hits = sum(r.vec_id in {i for _, i in expected[r.query_id]} for r in got)
     assert hits / len(got) >= 0.95
+    whole = hnsw.nearest(Run(spark, "test3"), table, "embedding").collect()
+    assert sum(r.vec_id in {i for _, i in expected[r.query_id]} for r in whole) / len(whole) >= 0.95
     vectors = dict(rows)
     for r in got:
         exact = np.sqrt(((np.array(vectors[r.query_id]) - np.array(vectors[r.vec_id])) ** 2).sum())
         assert r.score == pytest.approx(exact, rel=1e-12) and r.vec_id != r.query_id
 
 
+def test_recall_of_full_shards(spark):
+    """Default parameters, on vectors without any structure: the hardest that a shard can hold."""
+    rng = np.random.default_rng(12)
+    vectors = rng.standard_normal((2 * hnsw.SHARD, 64))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, v array<double>")
+    got = hnsw.nearest(Run(spark, "test3"), table, "v", query_step=50).collect()
+    queries = range(0, len(vectors), 50)
+    assert len(got) == 10 * len(queries)
+    nearest = {q: set(np.argsort(((vectors - vectors[q]) ** 2).sum(axis=1), kind="stable")[1:11].tolist()) for q in queries}
+    recall = sum(r.vec_id in nearest[r.query_id] for r in got) / len(got)
+    assert recall >= 0.9
+
+
 def test_nearest_edges(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.random(4).round(1).tolist()) for i in range(300)]

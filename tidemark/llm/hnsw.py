@@ -1,8 +1,9 @@
 """Approximate nearest neighbours: a navigable small-world graph with layers per shard.
 
 Vectors are dealt out at random to shards of a bounded size. A task builds the graph of a shard,
-kept as flat arrays of neighbour numbers, one row per vector and layer. Blocks of queries meet every
-shard by its number; each shard gives its nearest, and a query's nearest of all shards are merged.
+kept as flat arrays of neighbour numbers, one row per vector and layer. The graph of a shard goes to one
+task and is read once; the queries stream past it. Each shard gives its nearest, and a query's nearest
+of all shards are merged.
 """
 
 from __future__ import annotations
@@ -13,14 +14,14 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.stage import Run
 
-#: Vectors of a shard, and queries of a block, on average.
-SHARD, BLOCK = 4096, 1024
+#: Vectors of a shard, on average.
+SHARD = 4096
 #: Neighbours kept in upper layers, and in the lowest; width of the search while building and asking.
 LINKS, LINKS_0 = 12, 24
 BUILD_WIDTH, SEARCH_WIDTH = 48, 64
@@ -204,31 +205,44 @@ def nearest(run: Run, vectors: DataFrame, column: str, query_step: int = QUERY_S
     found = run.written(valid(vectors, column).withColumn("deal", F.monotonically_increasing_id()), "vectors")
     n = found.count()
     shards = max(1, math.ceil(n / shard))
-    blocks = max(1, math.ceil(n / query_step / BLOCK))
 
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
-        index = ShardIndex.built(rows["vec_id"].to_numpy(), np.stack(rows["vec"].to_numpy()))
-        return pd.DataFrame({"dim": rows["dim"].iloc[:1], "shard": rows["shard"].iloc[:1], "data": [index.to_bytes()]})
-
-    dealt = found.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(shards)).cast("int"))
-    index = run.written(dealt.groupBy("dim", "shard").applyInPandas(build, "dim int, shard int, data binary"), "index")
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All rows of a shard; vectors of each length get a graph of their own."""
+        some = [b for b in batches if b.num_rows]
+        if not some:
+            return
+        rows = pa.Table.from_batches(some)
+        for dim in pc.unique(rows["dim"]).to_pylist():
+            alike = rows.filter(pc.equal(rows["dim"], dim))
+            index = ShardIndex.built(alike["vec_id"].to_numpy(), pc.list_flatten(alike["vec"]).to_numpy().reshape(-1, dim))
+            yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), alike["shard"][:1].combine_chunks(), pa.array([index.to_bytes()])], ["dim", "shard", "data"])
+
+    # A task per shard: graphs are small and dear, so tasks put together by their bytes would be too few.
+    dealt = found.select("vec_id", "vec", "dim", F.pmod(F.xxhash64("deal"), F.lit(shards)).cast("int").alias("shard"))
+    index = run.written(dealt.repartitionById(shards, F.col("shard")).mapInArrow(build, "dim int, shard int, data binary"), "index")
 
     queries = found.where(F.col("vec_id") % query_step == 0).groupBy("vec_id", "dim").agg(F.min("vec").alias("vec"))
-    queries = queries.groupBy("vec_id").agg(F.min(F.struct("dim", "vec")).alias("q")).select("vec_id", "q.dim", "q.vec")
-    block = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).groupBy("dim", "block").agg(F.collect_list(F.struct("vec_id", "vec")).alias("queries"))
-    asked = block.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(index, ["dim", "shard"])
+    queries = queries.groupBy("vec_id").agg(F.min(F.struct("dim", "vec")).alias("q")).select("q.dim", "vec_id", "q.vec")
+    asked = queries.select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(None).cast("binary").alias("data"), "vec_id", "vec")
+    graphs = index.select("*", F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("array<double>").alias("vec"))
+    met = graphs.unionByName(asked).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "dim", F.col("data").isNull())
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The graph for a length of vectors, then the queries of that length."""
+        dim, graph = None, None
         for batch in batches:
-            for data, some in zip(batch.column("data"), batch.column("queries")):
-                shard_index = ShardIndex.from_bytes(data.as_py())
-                got = []
-                for q in some.as_py():
-                    ids, scores = shard_index.nearest(q["vec_id"], np.array(q["vec"]), k, SEARCH_WIDTH)
-                    got.append((np.full(len(ids), q["vec_id"]), ids, scores))
+            got = []
+            for at, data, query, vec in zip(*(batch.column(c) for c in ("dim", "data", "vec_id", "vec"))):
+                if data.is_valid:
+                    dim, graph = at.as_py(), ShardIndex.from_bytes(data.as_py())
+                elif at.as_py() == dim:  # else no vector of the shard has this length
+                    query = query.as_py()
+                    ids, scores = graph.nearest(query, vec.values.to_numpy(), k, SEARCH_WIDTH)
+                    got.append((np.full(len(ids), query), ids, scores))
+            if got:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*got)], schema=_FOUND)
 
-    near = asked.select("queries", "data").mapInArrow(ask, "query_id long, vec_id long, score double")
+    near = met.select("dim", "data", "vec_id", "vec").mapInArrow(ask, "query_id long, vec_id long, score double")
     near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

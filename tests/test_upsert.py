@@ -168,3 +168,18 @@ def test_a_literal_watermark_prunes_months_and_reaches_the_scan(spark, tmp_path)
     assert "event_month#" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert "GreaterThanOrEqual(day,2024-03-30)" in plan
     assert [r.day for r in found.collect()] == [date(2024, 3, 30)]
+
+
+@pytest.mark.parametrize("known", [False, True])
+def test_only_keys_with_a_null_are_listed_by_ignored_columns(spark, known, monkeypatch):
+    """A key without NULLs is judged by equal states alone; repeated keys may be given."""
+    day = date(2024, 1, 1)
+    target = spark.createDataFrame([(1, day, 1, "a", 0), (2, day, None, "a", 0), (3, day, 1, "a", 0)], DDL)
+    rows = [(k, day, amount, "a", 0) for k, amounts in ((1, (1, 2, 3)), (2, (4, 5)), (3, (1, 1)), (4, (1, 2))) for amount in amounts]
+    rows = spark.createDataFrame(rows, DDL)
+    listed, real = [], upsert._agreeing
+    monkeypatch.setattr(upsert, "_agreeing", lambda states, *rest: listed.append(states) or real(states, *rest))
+    repeated = (upsert.repeated_keys(rows, "k"),) if known else ()
+    found = upsert.changes_per_key(target, rows, RULE, *repeated)
+    assert sorted(map(tuple, found.collect())) == [(1, 2), (2, 0), (3, 0)]
+    assert {r.key for r in listed[0].collect()} == {2}

@@ -8,6 +8,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from checks import standins
 from checks.workbooks import workbook_bytes
 from tests.conftest import when
 from tidemark.operators import runlog, upsert
@@ -498,3 +499,32 @@ def test_cluster_without_a_shared_folder():
             tables.shared_folder(session(master))
     for master in ("local", "local[*]", "local[8]"):
         assert tables.shared_folder(session(master)) == tables.shared_folder(session("local[2]"))
+
+def test_rows_that_lie_by_month_are_known(spark, tmp_path):
+    """Files of one month each may be written as they lie; files that mix years may not."""
+    days = "date_add(DATE'2000-01-15', CAST(id % 24 AS INT) * 31)"
+    rows = spark.range(0, 240, 1, 4).select("id", F.expr(days).cast("timestamp_ntz").alias("Transaction_DateTime"))
+    rows.write.parquet(f"{tmp_path}/mixed")
+    rows.repartitionByRange(24, "Transaction_DateTime").write.parquet(f"{tmp_path}/dealt")
+    assert tables.lies_by_month(spark.read.parquet(f"{tmp_path}/dealt"), DEV["Sales"])
+    assert not tables.lies_by_month(spark.read.parquet(f"{tmp_path}/mixed"), DEV["Sales"])
+
+
+def test_wide_rows_of_an_increment_are_not_shuffled_to_be_compared(spark):
+    """Only key, compared columns and month are read of an increment until its rows are written."""
+    spec = DEV["Purchases"]
+    columns = ", ".join(f"`{c.name}` {'STRING' if c.max_length else c.type}" for c in spec.columns)
+    rows = spark.createDataFrame([], columns)
+    held = rows.select(*loads._compared(spec)).withColumn(MONTH, F.lit(None).cast("date"))
+    effects = loads._effects(rows, held, spec, False)
+    assert effects.columns == [spec.key, MONTH, loads.ADDS]
+    assert loads._held(rows.withColumn(MONTH, F.lit(None).cast("date")), rows, spec, False).columns == [*loads._compared(spec), MONTH]
+
+
+def test_a_stand_in_target_is_filled_without_dealing_out_its_forty_columns(spark, sf):
+    """The few columns it is projected from lie by month; the rows are those of the SQL."""
+    spec = DEV["Purchases"]
+    lying = standins.target(spark, sf, spec, standins.fact_rows(spark, sf, spec))
+    assert "hashpartitioning" not in lying._jdf.queryExecution().executedPlan().toString()
+    plain = standins.target(spark, sf, spec)
+    assert lying.exceptAll(plain).isEmpty() and plain.exceptAll(lying).isEmpty()

@@ -32,7 +32,7 @@ LOG_DAY = "log_day"
 BROADCAST_KEYS = 5_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Of a row of an increment that does something: whether it is new.
+# Of what a row of an increment does: whether it is new.
 ADDS = "adds"
 
 
@@ -184,8 +184,9 @@ def _upsert(
     broadcast_bytes: int,
     corrections: bool,
 ) -> tuple[int, int]:
-    """Five passes, and one more where keys repeat: the watermark, the increment with its size, repeated
-    keys, what each row does, how many do what by month, the new files. Spark runs each as a few jobs."""
+    """Six passes, and one more where keys repeat: the watermark, the increment with its size, repeated
+    keys, what the target holds of the increment's keys, what changes of it, the new files. Spark runs each
+    as a few jobs. Between the increment and the files only keys and compared columns are moved."""
     spark = source.sparkSession
     table = spark.table(spec.full_name)
     months = tables.partition_values(spark, spec.full_name)
@@ -201,13 +202,18 @@ def _upsert(
     rows, n_rows, size = _sized(shaped, staging, "increment")
     rows = _unambiguous(table, rows, spec, staging)
 
-    effects = staging.write(_effects(table, rows, spec, n_rows <= broadcast_keys), "effects", ADDS)
+    held, n_held, held_size = _sized(_held(table, rows, spec, n_rows <= broadcast_keys), staging, "held")
+    effects = staging.write(_effects(rows, held, spec, held_size <= broadcast_bytes), "effects", ADDS)
     counts = effects.groupBy(ADDS, MONTH).count().collect()
     n_inserted = sum(r["count"] for r in counts if r[ADDS])
     n_updated = sum(r["count"] for r in counts if not r[ADDS])
     if not counts:
         return 0, 0
-    new = tables.with_month(effects.where(ADDS), spec).select(*map(quoted, [*spec.names, MONTH]))
+    known = held.select(quoted(spec.key))
+    adds = rows.join(F.broadcast(known) if n_held <= broadcast_keys else known, spec.key, "left_anti")
+    new = tables.with_month(adds, spec).select(*map(quoted, [*spec.names, MONTH]))
+    if spec.buckets or n_held > broadcast_keys or not tables.lies_by_month(rows, spec):
+        new = tables.spread(new, spec)
     rewritten = sorted({r[MONTH] for r in counts if not r[ADDS]})
     if rewritten:
         part = table.where(F.col(MONTH).isin(rewritten))
@@ -220,10 +226,10 @@ def _upsert(
             files = tables.spread(kept.unionByName(new), spec)
         else:
             # With a broadcast the rewritten rows stay in the tasks that read them, month by month.
-            files = (kept if small else tables.spread(kept, spec)).unionByName(tables.spread(new, spec))
+            files = (kept if small else tables.spread(kept, spec)).unionByName(new)
         commits.change_months(files, spec, rewritten)
     else:
-        commits.change_months(tables.spread(new, spec), spec)
+        commits.change_months(new, spec)
     return n_inserted, n_updated
 
 
@@ -234,23 +240,31 @@ def _sized(df: DataFrame, staging: tables.Staging, name: str) -> tuple[DataFrame
     return staging.write(observed, name), seen.get["n"], seen.get["size"]
 
 
-def _effects(table: DataFrame, rows: DataFrame, spec: TableSpec, broadcast: bool) -> DataFrame:
-    """What the increment does: its rows that are new, and for each target row that changes one
-    increment row with the month the target row is in.
+def _compared(spec: TableSpec) -> list[str]:
+    return [spec.key, *spec.compare, *spec.compare_null_safe]
 
-    The target is first reduced to key and compared columns of the increment's keys. Up to a
-    checked number of keys that takes a broadcast, and the target's rows are not shuffled. Beyond it
-    they are not either where the table is stored in buckets.
+
+def _held(table: DataFrame, rows: DataFrame, spec: TableSpec, broadcast: bool) -> DataFrame:
+    """What the target holds of the increment's keys: key, compared columns and month.
+
+    Up to a checked number of keys that takes a broadcast, and the target's rows are not shuffled.
+    Beyond it they are not either where the table is stored in buckets.
     """
-    compared = [spec.key, *spec.compare, *spec.compare_null_safe]
     keys = rows.select(quoted(spec.key))
-    held = table.select(*map(quoted, compared), MONTH).join(F.broadcast(keys) if broadcast else keys.hint("merge"), spec.key, "left_semi")
+    keys = F.broadcast(keys) if broadcast else keys.hint("merge")
+    return table.select(*map(quoted, _compared(spec)), MONTH).join(keys, spec.key, "left_semi")
+
+
+def _effects(rows: DataFrame, held: DataFrame, spec: TableSpec, broadcast: bool) -> DataFrame:
+    """What the increment does: the keys of its rows that are new, and for each target row that changes
+    its key and month, once for each increment row that changes it."""
     adds = quoted(spec.key, "t").isNull()
     return (
-        rows.alias("s")
-        .join(held.alias("t"), upsert.same_key(spec), "left")
+        rows.select(*map(quoted, _compared(spec)))
+        .alias("s")
+        .join((F.broadcast(held) if broadcast else held).alias("t"), upsert.same_key(spec), "left")
         .where(adds | F.coalesce(upsert.is_changed(spec), F.lit(False)))
-        .select(*[quoted(c, "s").alias(c) for c in spec.names], quoted(MONTH, "t").alias(MONTH), adds.alias(ADDS))
+        .select(quoted(spec.key, "s").alias(spec.key), quoted(MONTH, "t").alias(MONTH), adds.alias(ADDS))
     )
 
 
@@ -258,9 +272,10 @@ def _unambiguous(
     table: DataFrame, rows: DataFrame, spec: TableSpec, staging: tables.Staging
 ) -> DataFrame:
     """The increment, once it is sure that no target row is changed twice."""
-    if upsert.repeated_keys(rows, spec.key).isEmpty():
+    repeated, n_repeated, _ = _sized(upsert.repeated_keys(rows, spec.key), staging, "repeated")
+    if not n_repeated:
         return rows
-    changes = staging.write(upsert.changes_per_key(table, rows, spec), "repeats")
+    changes = staging.write(upsert.changes_per_key(table, rows, spec, repeated), "repeats")
     twice = changes.where(F.col("n_changes") > 1)
     first = twice.orderBy(quoted(spec.key)).take(5)
     if first:

@@ -17,6 +17,9 @@ from tidemark.operators.conform import quoted
 from tidemark.operators.refresh import counted
 from tidemark.operators.upsert import MONTH
 
+# Months that a file of staged rows may hold on average to be written as it lies.
+MONTHS_OF_A_FILE = 4
+
 PREVIEW_ROWS = 3
 PREVIEW_NAMES = 5
 TEXT_TYPES = ("string", "varchar", "char")
@@ -62,7 +65,7 @@ def staged(df: DataFrame, name: str, *partition_by: str, folder: str | None = No
     """
     spark = df.sparkSession
     path = f"{folder}/{name}" if folder else staging_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*map(quoted, df.columns))
 
 
@@ -160,6 +163,17 @@ def spread(rows: DataFrame, spec) -> DataFrame:
     return rows.hint("rebalance", MONTH)
 
 
+def lies_by_month(rows: DataFrame, spec) -> bool:
+    """Whether the files of staged rows hold few months each, so that rows can be written as they lie.
+
+    Only the event column is read. Rows written as they lie make a file per task and month.
+    """
+    month = month_start(quoted(spec.event))
+    files = rows.groupBy(F.input_file_name()).agg(F.size(F.collect_set(month)).alias("n_months"))
+    average = files.agg(F.avg("n_months")).first()[0]
+    return average is not None and average <= MONTHS_OF_A_FILE
+
+
 def table_rows(spark: SparkSession, spec) -> DataFrame:
     """A table's declared columns."""
     return spark.table(ident(spec.full_name)).select(*map(quoted, spec.names))

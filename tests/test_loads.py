@@ -528,3 +528,34 @@ def test_a_stand_in_target_is_filled_without_dealing_out_its_forty_columns(spark
     assert "hashpartitioning" not in lying._jdf.queryExecution().executedPlan().toString()
     plain = standins.target(spark, sf, spec)
     assert lying.exceptAll(plain).isEmpty() and plain.exceptAll(lying).isEmpty()
+
+
+def test_new_months_of_an_increment_are_written_once(spark, monkeypatch):
+    """Rows of months in which all are new join the table as the files they were staged in; only other
+    months are written again, also where a row moves into a new month."""
+    load_sales(spark, [sale(1, "2024-01-05"), sale(2, "2024-02-10")])
+    write, again = tables.write_months, []
+
+    def seen(rows, *args):
+        again.extend(str(r[0]) for r in rows.select(MONTH).distinct().collect())
+        write(rows, *args)
+
+    monkeypatch.setattr(tables, "write_months", seen)
+    second = [sale(1, "2024-04-05"), sale(2, "2024-02-10"), sale(3, "2024-02-11"), sale(4, "2024-03-01"), sale(5, "2024-03-02")]
+    assert load_sales(spark, second) == (3, 1)
+    assert sorted(again) == ["2024-02-01", "2024-04-01"]
+    assert [r[:2] for r in sales(spark)] == [(r["Sales_ID"], str(r["Transaction_DateTime"])[:10]) for r in second]
+    again.clear()
+    third = [sale(3, "2024-05-01"), sale(6, "2024-06-01"), sale(7, "2024-06-02")]
+    assert load_sales(spark, third) == (2, 1)
+    assert "2024-06-01" not in again
+    assert load_sales(spark, third) == (0, 0)
+    assert len(sales(spark)) == 7
+    left = Path(tables.location(spark, DEV["Sales"]).removeprefix("file:")) / "_loads"
+    assert not [p.name for p in left.iterdir() if p.name.endswith((commits.ASIDE, commits.WRITING))]
+
+
+def test_rows_that_facts_are_projected_from_have_no_column_more(spark, sf):
+    spec = DEV["Inventory"]
+    rows = spark.sql(standins.fact_rows(spark, sf, spec))
+    assert {"party", "line"}.isdisjoint(rows.columns) and {"k", "day", "quantity"} <= set(rows.columns)

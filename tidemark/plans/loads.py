@@ -162,16 +162,17 @@ def load_fact(
     ``source`` stands in for the table the spec names as its source. With ``corrections`` rows older
     than the watermark are taken too where they change a row of the table, however old they are.
 
-    The source is scanned once: the increment is written to the shared folder, and all that
-    follows reads it from there with its size known. The target is scanned once for key and
-    compared columns. Without updates new rows are appended and nothing is rewritten; else
+    The whole rows of the source are read once: the increment is written to the shared folder, and all
+    that follows reads it from there with its size known. Where it lies by month it is written beside the
+    table as files of its months, and months that only bring new rows join the table as they are. The
+    target is scanned once for key and compared columns. Without updates new rows are appended and nothing is rewritten; else
     the months with a change are read in full and replaced in one write.
     """
     tables.create_if_missing(spark, spec)
     commits.settle(spark, spec)
-    with tables.Staging(spark, spec.table) as staging:
+    with tables.Staging(spark, spec.table) as staging, commits.Begun(spark, spec) as begun:
         source = _source(spark, spec, raw) if source is None else source
-        return _upsert(source, spec, as_of, lookback_days, staging, broadcast_keys, broadcast_bytes, corrections)
+        return _upsert(source, spec, as_of, lookback_days, staging, begun, broadcast_keys, broadcast_bytes, corrections)
 
 
 def _upsert(
@@ -180,6 +181,7 @@ def _upsert(
     as_of: datetime | None,
     lookback_days: int,
     staging: tables.Staging,
+    begun: commits.Begun,
     broadcast_keys: int,
     broadcast_bytes: int,
     corrections: bool,
@@ -199,20 +201,26 @@ def _upsert(
         older = upsert.shaped_for(spec, source, moment(as_of))
         ranges = partial(staging.write, name="ranges")
         shaped = shaped.union(upsert.late_corrections(older, table, spec, limit, ranges).select(*map(quoted, spec.names)))
-    rows, n_rows, size = _sized(shaped, staging, "increment")
-    rows = _unambiguous(table, rows, spec, staging)
-
-    held, n_held, held_size = _sized(_held(table, rows, spec, n_rows <= broadcast_keys), staging, "held")
-    effects = staging.write(_effects(rows, held, spec, held_size <= broadcast_bytes), "effects", ADDS)
+    shaped = tables.with_month(shaped, spec)
+    by_month = not (corrections or spec.buckets) and tables.lies_by_month(shaped, spec)
+    written, n_rows, size = _sized(shaped, begun.aside if by_month else staging.write, "increment")
+    rows = _unambiguous(table, written, spec, staging)
+
+    held, n_held, held_size = _sized(_held(table, rows, spec, n_rows <= broadcast_keys), staging.write, "held")
+    seen = Observation("known months")
+    effects = staging.write(_effects(rows, held, spec, held_size <= broadcast_bytes, seen), "effects", ADDS)
     counts = effects.groupBy(ADDS, MONTH).count().collect()
     n_inserted = sum(r["count"] for r in counts if r[ADDS])
     n_updated = sum(r["count"] for r in counts if not r[ADDS])
     if not counts:
         return 0, 0
+    ready = []
+    if by_month and rows is written:
+        ready = [r[MONTH] for r in counts if r[ADDS] and str(r[MONTH]) not in seen.get["months"].split()]
     known = held.select(quoted(spec.key))
-    adds = rows.join(F.broadcast(known) if n_held <= broadcast_keys else known, spec.key, "left_anti")
-    new = tables.with_month(adds, spec).select(*map(quoted, [*spec.names, MONTH]))
-    if spec.buckets or n_held > broadcast_keys or not tables.lies_by_month(rows, spec):
+    adds = rows.where(~F.col(MONTH).isin(ready)).join(F.broadcast(known) if n_held <= broadcast_keys else known, spec.key, "left_anti")
+    new = adds.select(*map(quoted, [*spec.names, MONTH]))
+    if spec.buckets or n_held > broadcast_keys or not (by_month or tables.lies_by_month(rows, spec)):
         new = tables.spread(new, spec)
     rewritten = sorted({r[MONTH] for r in counts if not r[ADDS]})
     if rewritten:
@@ -227,17 +235,17 @@ def _upsert(
         else:
             # With a broadcast the rewritten rows stay in the tasks that read them, month by month.
             files = (kept if small else tables.spread(kept, spec)).unionByName(new)
-        commits.change_months(files, spec, rewritten)
+        commits.change_months(files, spec, rewritten, begun, ready)
     else:
-        commits.change_months(new, spec)
+        commits.change_months(new, spec, (), begun, ready)
     return n_inserted, n_updated
 
 
-def _sized(df: DataFrame, staging: tables.Staging, name: str) -> tuple[DataFrame, int, int]:
-    """``df`` staged, its number of rows and bytes in memory; both are taken on the way."""
+def _sized(df: DataFrame, write: Callable[[DataFrame, str], DataFrame], name: str) -> tuple[DataFrame, int, int]:
+    """``df`` written and read back, its number of rows and bytes in memory; both are taken on the way."""
     seen = Observation(name)
     observed = df.observe(seen, F.count(F.lit(1)).alias("n"), tables.total_size(df).alias("size"))
-    return staging.write(observed, name), seen.get["n"], seen.get["size"]
+    return write(observed, name), seen.get["n"], seen.get["size"]
 
 
 def _compared(spec: TableSpec) -> list[str]:
@@ -255,16 +263,29 @@ def _held(table: DataFrame, rows: DataFrame, spec: TableSpec, broadcast: bool) -
     return table.select(*map(quoted, _compared(spec)), MONTH).join(keys, spec.key, "left_semi")
 
 
-def _effects(rows: DataFrame, held: DataFrame, spec: TableSpec, broadcast: bool) -> DataFrame:
-    """What the increment does: the keys of its rows that are new, and for each target row that changes
-    its key and month, once for each increment row that changes it."""
+def _effects(rows: DataFrame, held: DataFrame, spec: TableSpec, broadcast: bool, seen: Observation | None = None) -> DataFrame:
+    """What the increment does: key and month of its rows that are new, and for each target row that changes
+    its key and month, once for each increment row that changes it.
+
+    ``seen`` gets the ``months`` in which the increment has rows that are not new.
+    """
     adds = quoted(spec.key, "t").isNull()
-    return (
-        rows.select(*map(quoted, _compared(spec)))
+    rows, held = (df if MONTH in df.columns else tables.with_month(df, spec) for df in (rows, held))
+    pairs = (
+        rows.select(*map(quoted, _compared(spec)), MONTH)
         .alias("s")
         .join((F.broadcast(held) if broadcast else held).alias("t"), upsert.same_key(spec), "left")
-        .where(adds | F.coalesce(upsert.is_changed(spec), F.lit(False)))
-        .select(quoted(spec.key, "s").alias(spec.key), quoted(MONTH, "t").alias(MONTH), adds.alias(ADDS))
+    )
+    if seen is not None:
+        known = F.collect_set(F.when(~adds, quoted(MONTH, "s").cast("string")))
+        pairs = pairs.observe(seen, F.array_join(known, " ").alias("months"))
+    return (
+        pairs.where(adds | F.coalesce(upsert.is_changed(spec), F.lit(False)))
+        .select(
+            quoted(spec.key, "s").alias(spec.key),
+            F.when(adds, quoted(MONTH, "s")).otherwise(quoted(MONTH, "t")).alias(MONTH),
+            adds.alias(ADDS),
+        )
     )
 
 
@@ -272,7 +293,7 @@ def _unambiguous(
     table: DataFrame, rows: DataFrame, spec: TableSpec, staging: tables.Staging
 ) -> DataFrame:
     """The increment, once it is sure that no target row is changed twice."""
-    repeated, n_repeated, _ = _sized(upsert.repeated_keys(rows, spec.key), staging, "repeated")
+    repeated, n_repeated, _ = _sized(upsert.repeated_keys(rows, spec.key), staging.write, "repeated")
     if not n_repeated:
         return rows
     changes = staging.write(upsert.changes_per_key(table, rows, spec, repeated), "repeats")

@@ -17,11 +17,14 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.conform import quoted
 from tidemark.operators.upsert import MONTH
 from tidemark.sources import tables
 
-# A load leaves <id>.writing while its files are written, then <id>.intent, then <id>.done.
+# A load leaves <id>.writing while its files are written, then <id>.intent, then <id>.done. Its increment
+# lies in <id>.aside until then.
 WRITING, INTENT, DONE = ".writing", ".intent", ".done"
+ASIDE = ".aside"
 
 
 def _loads(spark: SparkSession, spec) -> str:
@@ -110,6 +113,7 @@ def settle(spark: SparkSession, spec) -> None:
             tables.drop_helper(spark, spec, load)
             if f"{load}{INTENT}" not in names:
                 _delete(spark, f"{loads}/{load}")
+            _delete(spark, f"{loads}/{load}{ASIDE}")
             _delete(spark, f"{loads}/{name}")
         elif name.endswith(DONE):
             for folder in _read(spark, f"{loads}/{name}")["replaced"]:
@@ -117,17 +121,65 @@ def settle(spark: SparkSession, spec) -> None:
             _delete(spark, f"{loads}/{name}")
 
 
-def change_months(rows: DataFrame, spec, replaced: Iterable[date] = ()) -> None:
+class Begun:
+    """A load of a table that has been settled, and a folder for its increment on the table's file system.
+
+    What is left there when the load ends goes; if the driver dies, the next load removes it.
+    """
+
+    def __init__(self, spark: SparkSession, spec):
+        self.spark = spark
+        self.loads, self.load = _loads(spark, spec), uuid.uuid4().hex
+        self.folder = f"{self.loads}/{self.load}"
+        self.marked = self.changing = False
+
+    def __enter__(self) -> Begun:
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        if self.marked:
+            _delete(self.spark, f"{self.folder}{ASIDE}")
+            if kind is None or not self.changing:  # else there may be other files that the next load is to remove
+                _delete(self.spark, f"{self.folder}{WRITING}")
+
+    def mark(self) -> None:
+        if not self.marked:
+            _put(self.spark, f"{self.folder}{WRITING}")
+        self.marked = True
+
+    def aside(self, rows: DataFrame, name: str) -> DataFrame:
+        """Rows (with their month) written as files of a fact that is not stored in buckets, and read back."""
+        self.mark()
+        rows.write.partitionBy(MONTH).parquet(f"{self.folder}{ASIDE}")
+        return self.spark.read.schema(rows.schema).parquet(f"{self.folder}{ASIDE}").select(*map(quoted, rows.columns))
+
+    def take(self, months: Iterable[date]) -> None:
+        """Files of whole months of the increment put to those that the load has written."""
+        for month in months:
+            files, source = tables.file_system(self.spark, f"{self.folder}{ASIDE}/{MONTH}={month}")
+            target = tables.file_system(self.spark, f"{self.folder}/{MONTH}={month}")[1]
+            if not files.exists(target):
+                _rename(files, source, target)
+                continue
+            for name in _names(self.spark, source.toString()):
+                _rename(files, *(tables.file_system(self.spark, f"{p.toString()}/{name}")[1] for p in (source, target)))
+
+
+def change_months(
+    rows: DataFrame, spec, replaced: Iterable[date] = (), begun: Begun | None = None, ready: Iterable[date] = ()
+) -> None:
     """Make ``rows`` (with their month) the content of the ``replaced`` months, and add the others.
 
-    A replaced month without rows goes. Months that only gain rows keep their files. The table has
-    been settled before.
+    A replaced month without rows goes. Months that only gain rows keep their files. Months of ``ready``
+    are taken from the increment that ``begun`` has put aside. The table has been settled before.
     """
     spark = rows.sparkSession
-    loads, load = _loads(spark, spec), uuid.uuid4().hex
-    folder = f"{loads}/{load}"
-    _put(spark, f"{folder}{WRITING}")
+    begun = begun or Begun(spark, spec)
+    loads, load, folder = begun.loads, begun.load, begun.folder
+    begun.mark()
+    begun.changing = True
     tables.write_months(rows, spec, folder, load)
+    begun.take(ready)
     held = {str(m) for m in tables.partition_values(spark, spec.full_name)}
     replaced = {str(m) for m in replaced}
     written = {n.split("=", 1)[1] for n in _names(spark, folder) if n.startswith(f"{MONTH}=")}

@@ -214,3 +214,74 @@ def test_unique_words_between_passages_are_kept(spark):
     piece = lambda start, first_start, first_id=1: {"start": start, "n_words": 30, "first_id": first_id, "first_start": first_start, "first_words": 30, "matched": 30}
     assert passages._joined([piece(0, 0), piece(35, 33)]) == [(0, 65, [1], 60 / 65)]
     assert len(passages._joined([piece(0, 50), piece(35, 0)])) == len(passages._joined([piece(0, 0), piece(35, 33, 2)])) == 2
+
+
+def plain_alignment(a, b, x, y):
+    """The rule of ``passages.aligned`` word by word, over lists."""
+
+    def run(p, q):
+        n = 0
+        while n < min(len(p), len(q)) and p[n] == q[n]:
+            n += 1
+        return n
+
+    def onwards(p, q):
+        out, i, j = [], 0, 0
+        while True:
+            for di, dj in passages._SKIPS:
+                if run(p[i + di : i + di + passages.RESUME], q[j + dj : j + dj + passages.RESUME]) == passages.RESUME:
+                    n = run(p[i + di :], q[j + dj :])
+                    out.append((i + di, i + di + n, j + dj, j + dj + n))
+                    i, j = i + di + n, j + dj + n
+                    break
+            else:
+                return out
+
+    first = (x - run(a[:x][::-1], b[:y][::-1]), x + run(a[x:], b[y:]), y - run(a[:x][::-1], b[:y][::-1]), y + run(a[x:], b[y:]))
+    if first[0] == first[1]:
+        return []
+    before = [(first[0] - q, first[0] - p, first[2] - s, first[2] - r) for p, q, r, s in onwards(a[: first[0]][::-1], b[: first[2]][::-1])]
+    after = [(first[1] + p, first[1] + q, first[3] + r, first[3] + s) for p, q, r, s in onwards(a[first[1] :], b[first[3] :])]
+    return [*before[::-1], first, *after]
+
+
+def test_alignment_against_plain_words():
+    """Runs around a seed, found in bytes, are those found word by word: their outermost ends bound the passages."""
+    rng = random.Random(12)
+    for _ in range(400):
+        a = [rng.randrange(rng.choice([2, 9, 500])) for _ in range(rng.randrange(1, 150))]
+        b = [w for w in a if rng.random() > 0.05] + [7]
+        for _ in range(3):
+            b[rng.randrange(len(b))] = rng.randrange(9)
+        x, y = rng.randrange(len(a)), rng.randrange(len(b))
+        raw = [np.array(w, "<u4").tobytes() for w in (a, b)]
+        parts = plain_alignment(a, b, x, y)
+        around = [(p, q, r, s) for p, q, r, s in parts if (p, q) != (q, q)]
+        made = [(x - passages._behind(*raw, x, y), x + passages._ahead(*raw, x, y), y - passages._behind(*raw, x, y), y + passages._ahead(*raw, x, y))]
+        made = passages._earlier(*raw, made[0][0], made[0][2])[::-1] + made + passages._later(*raw, made[0][1], made[0][3]) if made[0][0] < made[0][1] else []
+        assert made == around
+        for start, end, first_start, first_end, same in passages.aligned(*raw, [x], [y]):
+            assert (start, first_start) in {(p[0], p[2]) for p in parts} and (end, first_end) in {(p[1], p[3]) for p in parts}
+            assert same <= min(end - start, first_end - first_start)
+
+
+def test_alignment_of_a_lone_seed_is_quick():
+    """Most chains are one seed that nothing follows; looking beyond it makes no array operation."""
+    import sys
+
+    rng = np.random.default_rng(13)
+    a, b = (rng.integers(0, 1 << 32, 300, dtype=np.uint32) for _ in range(2))
+    b[100:105] = a[200:205]
+    calls = 0
+
+    def count(frame, event, function):
+        nonlocal calls
+        calls += event == "c_call" and (getattr(function, "__module__", "") or "").startswith("numpy")
+
+    raw = a.tobytes(), b.tobytes()
+    sys.setprofile(count)
+    try:
+        found = passages.aligned(*raw, [200], [100])
+    finally:
+        sys.setprofile(None)
+    assert found == [(200, 205, 100, 105, 5)] and calls == 0

@@ -10,8 +10,9 @@ through a Fenwick tree of prefix maxima; chains are then aligned word by word.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -125,6 +126,8 @@ def chains(a: list[int], b: list[int]) -> list[list[int]]:
     A chain scores K per match less the cost of the words it passes over on both sides. Each match is
     in one chain; a chain that runs into one found before ends there.
     """
+    if len(a) == 1:
+        return [[0]]
     ranks = {v: r for r, v in enumerate(sorted(set(b)), 1)}
     tree = Fenwick(len(ranks))
     score, before, waiting = [0.0] * len(a), [-1] * len(a), []
@@ -164,7 +167,7 @@ def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             x, y = [a[i] for i in chain], [b[i] for i in chain]
             if len(chain) >= MIN_SEEDS:
                 low, first_low = max(0, x[0] - REACH), max(0, y[0] - REACH)
-                out.append((*held_key, np.array([x, y], "<i4").tobytes(), low, x[-1] + K + REACH, first_low, y[-1] + K + REACH))
+                out.append((*held_key, struct.pack(f"<{2 * len(x)}i", *x, *y), low, x[-1] + K + REACH, first_low, y[-1] + K + REACH))
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
         kinds = [pa.int64(), pa.int64(), pa.binary(), *[pa.int32()] * 4]
@@ -192,45 +195,92 @@ def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch_of(out)
 
 
-def _common_words(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence of two short runs, by rows of numpy."""
-    row = np.zeros(len(b) + 1, np.int64)
+def _common_words(a: Sequence, b: Sequence) -> int:
+    """Length of the longest common subsequence of two runs, a bit per word of ``b``."""
+    places: dict = {}
+    for i, y in enumerate(b):
+        places[y] = places.get(y, 0) | 1 << i
+    full = (1 << len(b)) - 1
+    row = full  # zeros where the length grows
     for x in a:
-        here = np.maximum(row[1:], row[:-1] + (b == x))
-        row[1:] = np.maximum.accumulate(here)
-    return int(row[-1])
+        met = row & places.get(x, 0)
+        row = (row + met | row - met) & full
+    return len(b) - row.bit_count()
 
 
 _SKIPS = sorted(((i, j) for i in range(SKIP + 1) for j in range(SKIP + 1) if i or j), key=lambda s: (max(s), sum(s), s))
+#: Words compared at once in a run.
+STRIDE = 32
+
+
+def _ahead(a: bytes, b: bytes, i: int, j: int) -> int:
+    """How many words (of four bytes) agree from places i and j on."""
+    i, j = 4 * i, 4 * j
+    start, stop = i, i + min(len(a) - i, len(b) - j)
+    while i < stop:
+        if i + 4 * STRIDE <= stop and a[i : i + 4 * STRIDE] == b[j : j + 4 * STRIDE]:
+            i, j = i + 4 * STRIDE, j + 4 * STRIDE
+        elif a[i : i + 4] == b[j : j + 4]:
+            i, j = i + 4, j + 4
+        else:
+            break
+    return (i - start) // 4
+
+
+def _behind(a: bytes, b: bytes, i: int, j: int, low: int = 0, first_low: int = 0) -> int:
+    """How many words agree before places i and j, down to low and first_low."""
+    i, j = min(4 * i, len(a)), min(4 * j, len(b))
+    start, stop = i, i - min(i - 4 * low, j - 4 * first_low)
+    while i > stop:
+        if i - 4 * STRIDE >= stop and a[i - 4 * STRIDE : i] == b[j - 4 * STRIDE : j]:
+            i, j = i - 4 * STRIDE, j - 4 * STRIDE
+        elif a[i - 4 : i] == b[j - 4 : j]:
+            i, j = i - 4, j - 4
+        else:
+            break
+    return max(0, start - i) // 4
 
 
-def _run(a: np.ndarray, b: np.ndarray) -> int:
-    """How many words agree from the start on."""
-    n = min(len(a), len(b))
-    differ = np.nonzero(a[:n] != b[:n])[0]
-    return int(differ[0]) if len(differ) else n
+def _later(a: bytes, b: bytes, i: int, j: int) -> list[tuple[int, int, int, int]]:
+    """Further runs of agreeing words behind places i and j, after a few that do not agree."""
+    out = []
+    while True:
+        here = [a[4 * (i + d) : 4 * (i + d + RESUME)] for d in range(SKIP + 1)]
+        there = [b[4 * (j + d) : 4 * (j + d + RESUME)] for d in range(SKIP + 1)]
+        for di, dj in _SKIPS:
+            if here[di] == there[dj] and len(here[di]) == 4 * RESUME:
+                i, j = i + di, j + dj
+                n = _ahead(a, b, i, j)
+                out.append((i, i + n, j, j + n))
+                i, j = i + n, j + n
+                break
+        else:
+            return out
 
 
-def _onwards(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Further runs of agreeing words after a few that do not."""
-    out, i, j = [], 0, 0
+def _earlier(a: bytes, b: bytes, i: int, j: int) -> list[tuple[int, int, int, int]]:
+    """As ``_later``, before places i and j, or the ends where these lie beyond; the nearest comes first."""
+    out, over, first_over = [], max(0, i - len(a) // 4), max(0, j - len(b) // 4)
+    i, j = i - over, j - first_over
     while True:
+        here = [a[4 * max(0, i - d - RESUME) : 4 * max(0, i - d)] for d in range(SKIP + 1)]
+        there = [b[4 * max(0, j - d - RESUME) : 4 * max(0, j - d)] for d in range(SKIP + 1)]
         for di, dj in _SKIPS:
-            n = _run(a[i + di : i + di + RESUME], b[j + dj : j + dj + RESUME])
-            if n == RESUME:
-                n = _run(a[i + di :], b[j + dj :])
-                out.append((i + di, i + di + n, j + dj, j + dj + n))
-                i, j = i + di + n, j + dj + n
+            if here[di] == there[dj] and len(here[di]) == 4 * RESUME:
+                i, j = i - di, j - dj
+                n = _behind(a, b, i, j)
+                out.append((i - n + over, i + over, j - n + first_over, j + first_over))
+                i, j = i - n, j - n
                 break
         else:
             return out
 
 
-def aligned(a: np.ndarray, b: np.ndarray, x: list[int], y: list[int]) -> list[tuple[int, int, int, int, int]]:
+def aligned(a: bytes, b: bytes, x: list[int], y: list[int]) -> list[tuple[int, int, int, int, int]]:
     """Passages (start, end, start in b, end in b, words that agree) along the chain of seeds x, y.
 
-    Seeds grow while words agree, at both ends of the chain also past a few that do not. What lies
-    between the runs is aligned, and all is summed up with
+    ``a`` and ``b`` hold word hashes of four bytes each. Seeds grow while words agree, at both ends of
+    the chain also past a few that do not. What lies between the runs is aligned, and all is summed up with
     one for a word that agrees and as much less for one that does not as the similarity allows. A
     passage is a stretch whose sum nowhere falls below its start, up to its highest place.
     """
@@ -242,16 +292,13 @@ def aligned(a: np.ndarray, b: np.ndarray, x: list[int], y: list[int]) -> list[tu
                 continue
             i, j = parts[-1][1], parts[-1][3]
         floor_i, floor_j = (parts[-1][1], parts[-1][3]) if parts else (0, 0)
-        back = _run(a[floor_i:i][::-1], b[floor_j:j][::-1])
-        ahead = _run(a[i:], b[j:])
+        back = _behind(a, b, i, j, floor_i, floor_j)
+        ahead = _ahead(a, b, i, j)
         if back + ahead:
             parts.append((i - back, i + ahead, j - back, j + ahead))
     if parts:
-        i, _, j, _ = parts[0]
-        earlier = [(i - q, i - p, j - s, j - r) for p, q, r, s in _onwards(a[:i][::-1], b[:j][::-1])]
-        _, i, _, j = parts[-1]
-        later = [(i + p, i + q, j + r, j + s) for p, q, r, s in _onwards(a[i:], b[j:])]
-        parts = earlier[::-1] + parts + later
+        parts = _earlier(a, b, parts[0][0], parts[0][2])[::-1] + parts + _later(a, b, parts[-1][1], parts[-1][3])
+    words_a, words_b = memoryview(a).cast("I"), memoryview(b).cast("I")
     out = []
     total = top = 0.0
     start = best = None
@@ -260,7 +307,7 @@ def aligned(a: np.ndarray, b: np.ndarray, x: list[int], y: list[int]) -> list[tu
         length = q[1] - q[0]
         if start is not None:
             gap_a, gap_b = q[0] - p[1], q[2] - p[3]
-            same = _common_words(a[p[1] : q[0]], b[p[3] : q[2]]) if gap_a and gap_b else 0
+            same = _common_words(words_a[p[1] : q[0]], words_b[p[3] : q[2]]) if gap_a and gap_b else 0
             total += same - penalty * (max(gap_a, gap_b) - same)
             agree += same
             if total <= 0 or top - total > penalty * MIN_WORDS:
@@ -292,23 +339,37 @@ def _tile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(cut, pa.binary())], ["doc_id", "tile", "words"])
 
 
+def _flat(column: pa.ListArray) -> tuple[list[int], dict[str, list]]:
+    """Where each row's structs end, and the fields of all structs as lists."""
+    ends = np.cumsum(column.value_lengths().to_numpy()).tolist()
+    structs = column.flatten()
+    return ends, {f.name: structs.field(f.name).to_pylist() for f in structs.type}
+
+
 def _aligned_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passages of a document per row: all its chains, and each tile they lie in once."""
     for batch in batches:
         out = []
-        for doc_id, some, tiles in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "chains", "tiles"))):
-            held = {(t["of"], t["tile"]): t["words"] for t in tiles}
-
-            def cut(of: int, low: int, high: int) -> tuple[int, np.ndarray]:
+        chain_ends, chain = _flat(batch.column("chains"))
+        tile_ends, tile = _flat(batch.column("tiles"))
+        held_of, held_tile, held_words = (tile[c] for c in ("of", "tile", "words"))
+        rows = list(zip(*(chain[c] for c in ("first_id", "seeds", "low", "high", "first_low", "first_high"))))
+        at = tile_at = 0
+        for doc_id, end, tile_end in zip(batch.column("doc_id").to_pylist(), chain_ends, tile_ends):
+            held = dict(zip(zip(held_of[tile_at:tile_end], held_tile[tile_at:tile_end]), held_words[tile_at:tile_end]))
+
+            def cut(of: int, low: int, high: int) -> tuple[int, bytes]:
                 numbers = [n for n in range(low // TILE, high // TILE + 1) if (of, n) in held]
-                return TILE * numbers[0] if numbers else 0, np.frombuffer(b"".join([held[of, n] for n in numbers]), "<u4")
+                return TILE * numbers[0] if numbers else 0, b"".join([held[of, n] for n in numbers])
 
-            for c in some:
-                (base, a), (first_base, b) = cut(doc_id, c["low"], c["high"]), cut(c["first_id"], c["first_low"], c["first_high"])
-                x, y = np.frombuffer(c["seeds"], "<i4").reshape(2, -1)
-                for i, j, first_i, first_j, same in aligned(a, b, (x - base).tolist(), (y - first_base).tolist()):
+            for first_id, seeds_of, low, high, first_low, first_high in rows[at:end]:
+                (base, a), (first_base, b) = cut(doc_id, low, high), cut(first_id, first_low, first_high)
+                places = memoryview(seeds_of).cast("i").tolist()
+                x, y = places[: len(places) // 2], places[len(places) // 2 :]
+                for i, j, first_i, first_j, same in aligned(a, b, [v - base for v in x], [v - first_base for v in y]):
                     if j - i >= MIN_PIECE and same >= SIMILARITY * max(j - i, first_j - first_i):
-                        out.append((doc_id, i + base, j - i, c["first_id"], first_i + first_base, first_j - first_i, same))
+                        out.append((doc_id, i + base, j - i, first_id, first_i + first_base, first_j - first_i, same))
+            at, tile_at = end, tile_end
         if out:
             kinds = [x.split()[1] for x in _PASSAGES.split(", ")]
             columns = [pa.array(c, pa.int64() if k == "long" else pa.int32()) for c, k in zip(zip(*out), kinds)]

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import exact_dedup, language_id, packing, passages, simhash_dedup
-from tidemark.llm.stage import Run
+from tidemark.llm.stage import Run, bounded_batches
 
 #: Probability from which on a document counts as written in the language found.
 MIN_SCORE = 0.5
@@ -19,6 +19,7 @@ MIN_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages learned; others, and texts without a letter, go."""
+    bounded_batches(spark)
     return language_id.accepted(docs, language_id.fit(docs), MIN_SCORE)
 
 

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.test_dedup import brute_components, brute_fingerprint
-from tidemark.llm import language_id, packing, passages
+from tidemark.llm import language_id, packing, passages, stage
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, spans int, digest string, kept int"
 EN, DE = "the of and house water tree green with from this".split(), "der die und haus wasser baum schön mit aus dies".split()
@@ -99,3 +99,21 @@ def test_cut_text():
     assert passages.cut_text("a  b\tç d\n", [(1, 2)]) == "a  d\n"
     assert passages.cut_text(" a b c", [(0, 1), (2, 1)]) == " b "
     assert passages.cut_text("a b", [(0, 2)]) == ""
+
+
+def test_texts_go_to_workers_a_few_mb_at_a_time(spark):
+    """10,000 long texts are not one batch, in an executor and again in its worker."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    before = spark.conf.get(stage.BATCH_BYTES)
+    try:
+        stage.Run(spark, "test-batches")
+        docs = spark.range(0, 300, 1, 1).selectExpr("repeat('abcdefghij', 10000) AS text")
+        found = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+    finally:
+        spark.conf.set(stage.BATCH_BYTES, before)
+    assert sum(found) >= 300 * 100_000 and max(found) <= int(stage.BATCH) + 200_000

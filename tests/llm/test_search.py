@@ -285,3 +285,15 @@ def test_alignment_of_a_lone_seed_is_quick():
     finally:
         sys.setprofile(None)
     assert found == [(200, 205, 100, 105, 5)] and calls == 0
+
+
+def test_seeds_are_the_first_minima_of_windows():
+    rng = np.random.default_rng(14)
+    for n in [*range(12), 80, 81]:
+        hashes = rng.integers(0, 1 << 32, n).astype(np.uint32)
+        all_kmers = passages.seeds(hashes[: passages.K])[0] if n >= passages.K else []
+        assert len(all_kmers) == (n >= passages.K)
+        h = np.array([passages.seeds(hashes[i : i + passages.K])[0].view(np.uint64)[0] for i in range(n - passages.K + 1)], np.uint64)
+        width = min(passages.WINDOW, len(h))
+        expected = sorted({i + int(h[i : i + width].argmin()) for i in range(len(h) - width + 1)}) if width else []
+        assert passages.seeds(hashes)[1].tolist() == expected

@@ -76,9 +76,17 @@ def seeds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h *= _MULTIPLIERS[0]
     h ^= h >> np.uint64(29)
     width = min(WINDOW, n)
-    windows = np.lib.stride_tricks.sliding_window_view(h, width)
-    chosen = np.unique(windows.argmin(axis=1) + np.arange(n - width + 1))
-    h, pos = h[chosen], chosen.astype(np.int32)
+    m = n - width + 1
+    least, chosen = h[:m], np.arange(m, dtype=np.int32)
+    for k in range(1, width):
+        less = h[k : k + m] < least
+        least = np.where(less, h[k : k + m], least)
+        chosen[less] = np.nonzero(less)[0] + k
+    pos = chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))]  # first minima never go back
+    h = h[pos]
+    ordered = np.sort(h)
+    if (ordered[1:] != ordered[:-1]).all():
+        return h.view(np.int64), pos
     order = np.argsort(h, kind="stable")
     ordered = h[order]
     first = np.concatenate(([True], ordered[1:] != ordered[:-1]))

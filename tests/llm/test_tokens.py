@@ -75,6 +75,34 @@ def test_library_encoder(name, monkeypatch):
     assert [encoder.encode([t])[0] for t in TEXTS] == expected
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_are_cut_as_the_library_does(name, monkeypatch):
+    rng, encode, encoder = random.Random(6), library(name), chunks.LibraryEncoder(P.path(name))
+    alphabets = (" 's'tT'rRvVlLeEdDmM'  \n\nxX.,19", "ab 'sS ré\nÀ×÷ŊŉİıßſΣ.,;1 23", " \n", " a\n", " \u3000\x85\xa0\x1ca'b")
+    texts = ["".join(rng.choice(a) for _ in range(rng.randrange(40))) for a in alphabets for _ in range(500)]
+    expected = [raw(encode(t)) for t in texts]
+    assert encoder.encode(texts) == expected
+    long = " ".join(t for t in texts if t.strip() == t)
+    monkeypatch.setattr(chunks, "PART", 50)  # many batches, and long texts in parts
+    monkeypatch.setattr(chunks, "WORDS", 8)  # forgets all the time
+    assert encoder.encode([*texts, long, "", long]) == [*expected, raw(encode(long)), b"", raw(encode(long))]
+    assert encoder.encode([]) == [] and encoder.encode(["", ""]) == [b"", b""]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_library_encoder_remembers_words_only(name):
+    """Pieces joined of few words are many; a worker that keeps them all runs out of memory."""
+    encode, encoder = library(name), chunks.LibraryEncoder(P.path(name))
+    words = ["".join(RNG.choice("aeinrst") for _ in range(5)) for _ in range(150)]
+    text = " ".join(f"{a}.\n{b}" for a in words for b in words)
+    assert encoder.encode([text]) == [raw(encode(text))]
+    kept = [x for x in vars(encoder).values() if isinstance(x, dict)]
+    assert sum(len(x) + len(x.aside) for x in kept) < 1000
+    strange = ["日本語" * 100 + str(i) for i in range(20)]
+    assert encoder.encode(strange) == [raw(encode(t)) for t in strange]
+    assert max(len(word) for x in kept for word in [*x, *x.aside]) <= chunks.LONGEST
+
+
 @pytest.mark.parametrize("bits", [1, 5, 8, 13, 16, 17, 31, 32])
 def test_bits(bits):
     ids = np.array([RNG.randrange(1 << bits) for _ in range(1000)], np.uint32)
